@@ -18,13 +18,33 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.session import cut_lineage
+from presswork.session import co_partition_on_group, cut_lineage, group_partitions
 
 
 def _g(group) -> list[str]:
     return [group] if isinstance(group, str) else list(group)
 
 
+def _settle(x: DataFrame, k: int, total: int, every: int, prev: DataFrame | None) -> DataFrame:
+    """Materialise the (small) rank table of round ``k``.
+
+    Each round is cached so the next round's stage only joins cached inputs
+    (rounds are partition-local, so without this all rounds would pile up in
+    one deep stage); every ``every`` rounds a reliable checkpoint cuts the
+    lineage so a lost executor recomputes from the last checkpoint only.
+    """
+    if k + 1 >= total:
+        return x
+    if every and (k + 1) % every == 0:
+        x = cut_lineage(x)
+    else:
+        x = x.cache()
+        x.count()
+    if prev is not None:
+        prev.unpersist()
+    return x
+
+
 def text_rank(edges: DataFrame, nodes: DataFrame, group="id", d: float = 0.85,
               iters: int = 30, x0: float = 1.0, checkpoint_every: int = 10,
               partitions: int | None = None) -> DataFrame:
@@ -37,7 +57,8 @@ def text_rank(edges: DataFrame, nodes: DataFrame, group="id", d: float = 0.85,
     """
     g = _g(group)
     spark = edges.sparkSession
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    co_partition_on_group(spark)
+    n_part = partitions or group_partitions(spark)
     e = edges.filter((F.col("src") != F.col("dst")) & (F.col("w") != 0))
     cs = Window.partitionBy(*g, "src")
     en = (e.withColumn("m", F.col("w") / F.sum("w").over(cs))
@@ -45,14 +66,15 @@ def text_rank(edges: DataFrame, nodes: DataFrame, group="id", d: float = 0.85,
           .repartition(n_part, *g).cache())
     nd = nodes.select(*g, "node").repartition(n_part, *g).cache()
     x = nd.withColumn("x", F.lit(float(x0)))
+    prev = None
     for k in range(iters):
         contrib = (en.join(x.withColumnRenamed("node", "src"), [*g, "src"])
                    .groupBy(*g, "dst").agg(F.sum(F.col("m") * F.col("x")).alias("s"))
                    .withColumnRenamed("dst", "node"))
         x = (nd.join(contrib, [*g, "node"], "left")
              .select(*g, "node", ((1 - d) + d * F.coalesce("s", F.lit(0.0))).alias("x")))
-        if checkpoint_every and (k + 1) % checkpoint_every == 0 and k + 1 < iters:
-            x = cut_lineage(x)
+        x = _settle(x, k, iters, checkpoint_every, prev)
+        prev = x
     return x.withColumnRenamed("x", "rank")
 
 
@@ -103,7 +125,8 @@ def div_rank(edges: DataFrame, nodes: DataFrame, group="group", alpha: float = 0
     """
     g = _g(group)
     spark = edges.sparkSession
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    co_partition_on_group(spark)
+    n_part = partitions or group_partitions(spark)
     nd = nodes.select(*g, "node")
     per = Window.partitionBy(*g)
 
@@ -117,6 +140,7 @@ def div_rank(edges: DataFrame, nodes: DataFrame, group="group", alpha: float = 0
     p = norm(personalization, "pers").repartition(n_part, *g).cache()
     tr = _divrank_transition(edges, nd, g, alpha).repartition(n_part, *g).cache()
     x = norm(start, "x").select(*g, "node", "x")
+    prev = None
     for k in range(rounds):
         xn = x.select(*g, F.col("node").alias("dst"), F.col("x").alias("x_dst"))
         xs = x.select(*g, F.col("node").alias("src"), F.col("x").alias("x_src"))
@@ -128,8 +152,8 @@ def div_rank(edges: DataFrame, nodes: DataFrame, group="group", alpha: float = 0
                   .agg(F.sum(d * F.col("px") / F.col("D") * F.col("x_src")).alias("s")))
         x = (p.join(inflow, [*g, "node"], "left")
              .select(*g, "node", (F.coalesce("s", F.lit(0.0)) + (1 - d) * F.col("pers")).alias("x")))
-        if checkpoint_every and (k + 1) % checkpoint_every == 0 and k + 1 < rounds:
-            x = cut_lineage(x)
+        x = _settle(x, k, rounds, checkpoint_every, prev)
+        prev = x
     return x.withColumnRenamed("x", "rank")
 
 
@@ -187,3 +211,71 @@ def div_rank_converged(edges: DataFrame, nodes: DataFrame, group="group",
         return out
 
     return e.groupBy(*g).cogroup(nd.groupBy(*g)).applyInPandas(run, schema)
+
+
+def text_rank_grouped(xn: DataFrame, group: str = "id", sent: str = "sent",
+                      d: float = 0.85, iters: int = 10, x0: float = 1.0,
+                      top: int | None = 10) -> DataFrame:
+    """K9 + K10 + K11 per article, one task per article group.
+
+    Input: the L2-normalised sentence x word table ``(group, sent, word, x)``
+    (K7 + K8, computed by Spark). Spark shuffles it by ``group``; inside each
+    group the word graph ``X^T X`` is built from sentence co-occurrence and
+    the same fixed rounds as ``text_rank`` run on its edge arrays. An article
+    is bounded by its own text, so a group always fits one task.
+    Output ``(group, pos, word, rank)`` with rank rounded to 6 digits, the
+    ``top`` best per article (all when ``top`` is None).
+    """
+    gtype = dict(xn.dtypes)[group]
+    schema = f"{group} {gtype}, pos int, word string, rank double"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        gid = pdf[group].iloc[0]
+        words, widx = np.unique(pdf["word"].to_numpy(dtype=object), return_inverse=True)
+        n = len(words)
+        s = pdf[sent].to_numpy()
+        xv = pdf["x"].to_numpy(dtype=float)
+        # sentence co-occurrence pairs (self-join on the sentence inside the group)
+        order = np.argsort(s, kind="stable")
+        s, widx, xv = s[order], widx[order], xv[order]
+        bounds = np.flatnonzero(np.diff(s)) + 1
+        starts = np.concatenate(([0], bounds))
+        ends = np.concatenate((bounds, [len(s)]))
+        src_l, dst_l, w_l = [], [], []
+        for a, b in zip(starts, ends):
+            if b - a < 2:
+                continue
+            wi, xi = widx[a:b], xv[a:b]
+            src_l.append(np.repeat(wi, b - a))
+            dst_l.append(np.tile(wi, b - a))
+            w_l.append(np.outer(xi, xi).ravel())
+        x = np.full(n, float(x0))
+        if src_l:
+            src = np.concatenate(src_l)
+            dst = np.concatenate(dst_l)
+            w = np.concatenate(w_l)
+            keep = src != dst
+            src, dst, w = src[keep], dst[keep], w[keep]
+            key = src * n + dst
+            uk, inv = np.unique(key, return_inverse=True)
+            w = np.bincount(inv, weights=w)
+            src, dst = uk // n, uk % n
+            nz = w != 0
+            src, dst, w = src[nz], dst[nz], w[nz]
+            colsum = np.bincount(src, weights=w, minlength=n)
+            m = w / colsum[src]
+        else:
+            src = dst = np.array([], dtype=np.int64)
+            m = np.array([])
+        for _ in range(iters):
+            x = (1 - d) + d * np.bincount(dst, weights=m * x[src], minlength=n)
+        r = np.round(x, 6)
+        out = pd.DataFrame({"word": words, "rank": r}).sort_values(
+            ["rank", "word"], ascending=[False, True], kind="stable")
+        if top is not None:
+            out = out.head(top)
+        out.insert(0, "pos", np.arange(len(out), dtype=np.int32))
+        out.insert(0, group, gid)
+        return out
+
+    return xn.select(group, sent, "word", "x").groupBy(group).applyInPandas(run, schema)

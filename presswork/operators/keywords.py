@@ -42,8 +42,9 @@ def age_slot(df: DataFrame, ts: str = "ts", as_of: Column | None = None,
     """K1: add ``slot``; ``as_of`` defaults to the newest ``ts`` (scalar subquery)."""
     if as_of is None:
         as_of = df.select(F.max(ts)).scalar()
-    out = df.withColumn("slot", slot_of_age(age_hours(ts, as_of, wrap)))
-    return out.filter(F.col("slot").isNotNull())
+    out = df.withColumn("_h", age_hours(ts, as_of, wrap))
+    out = out.withColumn("slot", slot_of_age(F.col("_h")))
+    return out.filter(F.col("slot").isNotNull()).drop("_h")
 
 
 def parse_age(c) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.session import co_partition_on_group, group_partitions
 from presswork.functions.stopwords import FUNCTION_WORDS, GENERIC_WORDS
 from presswork.operators import graph, keywords as K, vectors as V
 from presswork.sources.corpus import corpus_articles, fixed_keywords
@@ -26,8 +27,15 @@ def analysed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_tokens(arts: DataFrame) -> DataFrame:
-    """K5 + K6: ``(id, slot, sent, sentence, tokens)``."""
-    s = K.sentence_rows(arts, ["id", "slot"], "text")
+    """K5 + K6: ``(id, slot, sent, sentence, tokens)``.
+
+    Sentence rows are hash-partitioned by article id once; the word graph,
+    its norms and the rank rounds (all keyed by id first) then run without
+    further shuffles.
+    """
+    spark = arts.sparkSession
+    co_partition_on_group(spark)
+    s = K.sentence_rows(arts, ["id", "slot"], "text").repartition(group_partitions(spark), "id")
     return K.tokens(s, "sentence", stop=FUNCTION_WORDS)
 
 
@@ -45,8 +53,16 @@ def article_ranks(st: DataFrame, rounds: int = RANK_ROUNDS) -> DataFrame:
     return graph.text_rank(word_edges(st), word_nodes(st), "id", iters=rounds)
 
 
-def article_keywords(st: DataFrame, rounds: int = RANK_ROUNDS) -> DataFrame:
-    """Top 10 words per article ``(id, pos, word, rank)``."""
+def article_keywords(st: DataFrame, rounds: int = RANK_ROUNDS, method: str = "grouped") -> DataFrame:
+    """K9 -> K11: top 10 words per article ``(id, pos, word, rank)``.
+
+    ``grouped`` (default): K7/K8 in Spark, then per-article graph and rank
+    rounds in one grouped task each. ``dataframe``: the edge-table operators
+    (``word_graph`` + ``text_rank``) with all articles advancing together.
+    """
+    if method == "grouped":
+        xn = V.l2_by(V.sentence_counts(st, "id", "sent"), ["id", "word"])
+        return graph.text_rank_grouped(xn, "id", "sent", iters=rounds, top=10)
     r = K.top_words(article_ranks(st, rounds), "id", 10)
     return r.select("id", "pos", F.col("node").alias("word"), F.round("rank", 6).alias("rank"))
 

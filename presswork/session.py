@@ -38,6 +38,27 @@ def get_spark(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+def co_partition_on_group(spark: SparkSession) -> None:
+    """Let joins and aggregations keyed by ``(group, ...)`` reuse a hash
+    partitioning on ``group`` alone (per-article / per-keyword work is
+    partitioned once by its group and stays partition-local afterwards)."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def group_partitions(spark: SparkSession) -> int:
+    """Partitions for work hash-partitioned once by its group key.
+
+    Several sorts and aggregations then share one stage per partition, so use
+    more, smaller partitions than the plain shuffle setting (at least 8 per
+    core); ``presswork.group.partitions`` overrides.
+    """
+    v = spark.conf.get("presswork.group.partitions", None)
+    if v:
+        return int(v)
+    cores = spark.sparkContext.defaultParallelism
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * cores)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
