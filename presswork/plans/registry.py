@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers on import)."""
-    from presswork.plans import q_day, q_pages  # noqa: F401
+    from presswork.plans import q_combos, q_day, q_pages  # noqa: F401
