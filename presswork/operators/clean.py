@@ -32,12 +32,77 @@ def final_spaces(c) -> Column:
     return F.regexp_replace(F.replace(_c(c), F.lit("  "), F.lit(" ")), "^ ", "")
 
 
+_META = set(".[](){}?*+|^$\\")
+
+
+def required_literal(pattern: str) -> str | None:
+    """Longest literal run that every match of ``pattern`` must contain.
+
+    Conservative: a run breaks at any class, group, dot or anchor; a char
+    made optional by ``?``, ``*`` or ``{0,`` is dropped; alternation or
+    inline flags give no guard (None).
+    """
+    if "|" in pattern or "(?" in pattern and "(?:" not in pattern:
+        return None
+    runs, cur, i, depth = [], "", 0, 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\" and i + 1 < len(pattern):
+            nxt = pattern[i + 1]
+            lit, step = (nxt, 2) if not nxt.isalnum() else (None, 2)
+        elif ch == "[":
+            j = pattern.index("]", i + 2) if "]" in pattern[i + 2:] else len(pattern) - 1
+            lit, step = None, j - i + 1
+        elif ch == "{":
+            j = pattern.index("}", i) if "}" in pattern[i:] else len(pattern) - 1
+            lit, step = None, j - i + 1
+        elif ch in "()":
+            depth += 1 if ch == "(" else -1
+            lit, step = None, 1
+        elif ch in _META:
+            lit, step = None, 1
+        else:
+            lit, step = ch, 1
+        after = pattern[i + step:i + step + 2]
+        optional = after[:1] in ("?", "*") or after.startswith("{0")
+        if lit is None or depth > 0 or optional:
+            if len(cur) > 0:
+                runs.append(cur)
+            cur = ""
+            if lit is not None and not optional and depth == 0:
+                cur = lit
+        else:
+            cur += lit
+        i += step
+    if cur:
+        runs.append(cur)
+    runs = [r for r in runs if r.strip()]
+    return max(runs, key=len) if runs else None
+
+
+def guarded(col: Column, pat: str, rep: str) -> Column:
+    """``regexp_replace`` that runs only on texts containing the pattern's
+    required literal (exact: without it no match exists), skipping the
+    backtracking of ``.+`` patterns on texts they cannot hit. The input is
+    bound once through a one-element ``transform``, so chains stay linear."""
+    lit = required_literal(pat)
+    if not lit:
+        return F.regexp_replace(col, pat, rep)
+    return F.element_at(F.transform(F.array(col), lambda t: F.when(
+        t.contains(lit), F.regexp_replace(t, pat, rep)).otherwise(t)), 1)
+
+
+def guarded_steps(df, c: str, rules: Sequence[tuple]):
+    """Apply outlet-free rules to column ``c`` (one expression)."""
+    return df.withColumn(c, apply_rules(F.col(c), rules))
+
+
 def apply_rules(c, rules: Sequence[tuple]) -> Column:
     """Fold ``(outlet, pattern, repl)`` rules of one outlet (or of all) over a
     text column; each step wraps the previous one once (linear size)."""
     t = _c(c)
     for _who, pat, rep in rules:
-        t = drop_tail_after_last_stop(t) if pat == R.TAIL else F.regexp_replace(t, pat, rep)
+        t = drop_tail_after_last_stop(t) if pat == R.TAIL else guarded(t, pat, rep)
     return t
 
 
@@ -101,8 +166,10 @@ def clean_body(df, c: str, outlet: str | None = None, extra_rules: Sequence[tupl
     """E8-E14 in the original order on column ``c``; ``extra_rules`` (for
     example corpus rules) run after the outlet rules. Steps are materialised
     as columns so no expression repeats its input."""
-    t = clean_unconditional(strip_symbols(clean_generic(normalise_ws(c))))
-    df = df.withColumn("_clean", t)
+    df = df.withColumn("_clean", normalise_ws(c))
+    df = guarded_steps(df, "_clean", R.GENERIC_RULES)
+    df = df.withColumn("_clean", strip_symbols("_clean"))
+    df = guarded_steps(df, "_clean", R.UNCONDITIONAL_RULES)
     if outlet is not None:
         df = df.withColumn("_clean", by_outlet("_clean", outlet, R.OUTLET_RULES))
     if extra_rules:
