@@ -190,8 +190,9 @@ def div_rank_converged(edges: DataFrame, nodes: DataFrame, group="group",
     Output ``(group..., node, rank, rounds, converged)``.
     """
     g = _g(group)
-    e = edges.select(*g, "src", "dst", "w")
-    nd = nodes.select(*g, "node")
+    # fresh attribute ids on both sides: edges and nodes often share lineage
+    e = edges.select(*[F.col(c).alias(c) for c in (*g, "src", "dst", "w")])
+    nd = nodes.select(*[F.col(c).alias(c) for c in (*g, "node")])
     schema = ", ".join([f"{c} {dict(nodes.dtypes)[c]}" for c in g]
                        + [f"node {dict(nodes.dtypes)['node']}", "rank double",
                           "rounds int", "converged boolean"])

@@ -90,10 +90,10 @@ def tfidf(terms: DataFrame, vocab: DataFrame, docs: DataFrame, group: Sequence[s
     ``n`` = documents of the group (all of them, also those without a kept
     term). Output ``(group..., doc, term, w)``.
     """
-    n = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    n = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_ndocs"))
     tf = terms.groupBy(*group, doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     raw = (tf.join(vocab, [*group, "term"]).join(n, list(group))
-           .withColumn("v", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
+           .withColumn("v", F.col("tf") * (F.log((1 + F.col("_ndocs")) / (1 + F.col("df"))) + 1)))
     w = Window.partitionBy(*group, doc)
     return raw.select(*group, doc, "term",
                       (F.col("v") / F.sqrt(F.sum(F.col("v") * F.col("v")).over(w))).alias("w"))
@@ -121,3 +121,37 @@ def mirror_pairs(pairs: DataFrame) -> DataFrame:
     cols = [c for c in pairs.columns if c not in ("a", "b")]
     return pairs.unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), *cols))
+
+
+def cosine_pairs_grouped(weights: DataFrame, group: Sequence[str], doc: str,
+                         min_sim: float, strict: bool = False) -> DataFrame:
+    """P10 per group as one dense product: ``(group..., a, b, sim)`` for
+    ``a < b`` with ``round(sim, 6) >= min_sim`` (``>`` when ``strict``).
+
+    The term-level equi-join emits sum(df^2) rows, which frequent n-grams
+    blow up; a combo-day group is bounded by the crawl quota (at most a few
+    thousand articles, a vocabulary of at most the mean token count), so its
+    documents x terms block fits one task and ``W W^T`` is one matrix product.
+    """
+    import numpy as np
+    import pandas as pd
+
+    g = list(group)
+    dt = dict(weights.dtypes)
+    schema = ", ".join([f"{c} {dt[c]}" for c in g] + [f"a {dt[doc]}", f"b {dt[doc]}", "sim double"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        docs, di = np.unique(pdf[doc].to_numpy(), return_inverse=True)
+        _, ti = np.unique(pdf["term"].to_numpy(dtype=object), return_inverse=True)
+        W = np.zeros((len(docs), ti.max() + 1 if len(ti) else 0))
+        np.add.at(W, (di, ti), pdf["w"].to_numpy(dtype=float))
+        S = np.round(W @ W.T, 6)
+        ia, ib = np.triu_indices(len(docs), k=1)
+        s = S[ia, ib]
+        keep = s > min_sim if strict else s >= min_sim
+        out = pd.DataFrame({"a": docs[ia[keep]], "b": docs[ib[keep]], "sim": s[keep]})
+        for i, c in enumerate(g):
+            out.insert(i, c, pdf[c].iloc[0])
+        return out
+
+    return weights.select(*g, doc, "term", "w").groupBy(*g).applyInPandas(run, schema)
