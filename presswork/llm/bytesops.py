@@ -154,6 +154,23 @@ def window_starts(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.arange(n.sum()) - base[doc] + first[:-1][doc]).astype(np.int64), doc
 
 
+def sort_within(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sorts the values of each text (direct sorts of short runs are many times
+    faster than one indirect sort); in place."""
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a > 1:
+            h[a:b].sort()
+    return h
+
+
+def run_starts(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where runs of equal values of a text start; sorted within texts."""
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    new[first[:-1][first[:-1] < first[1:]]] = True
+    return np.flatnonzero(new)
+
+
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Concatenated ``start[i] .. start[i]+length[i]-1``."""
     length = np.asarray(length, np.int64)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from presswork.session import cut_lineage
 
-__all__ = ["cut_lineage", "fold", "load", "spread", "text_bytes_per_task"]
+__all__ = ["cut_lineage", "fold", "load", "spread", "text_bytes"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,6 @@ def spread(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-def text_bytes_per_task(spark: SparkSession, df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` over the number of its tasks."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) // spread(spark)
+def text_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of ``df``: for a scan, its stored bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import quality, toxicity
+from presswork.llm import decontam, minhash, packing, quality, substring, toxicity, urlrules, warc
 from presswork.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,59 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = toxicity.score(docs, model)
     return got.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_best_two_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: The rules of the url query (host, path, verdict).
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+@query("op9_url_range_rules", f"""
+with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, coalesce(regexp_extract(rest, '^[^/?#]*'), '') as raw, coalesce(rest, '') as rest from u),
+p as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+      regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path, row_number() over () as n from h),
+r(rule_host, rule_path, rule_verdict) as (values {_RULE_ROWS}),
+m as (select p.n, rule_host || rule_path as rule, rule_verdict,
+      row_number() over (partition by p.n order by length(rule_host || rule_path) desc, length(rule_host) desc) as k
+      from p join r on (p.host = rule_host or p.host like '%.' || rule_host) and starts_with(p.path, rule_path))
+select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from p left join m on p.n = m.n and m.k = 1""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return urlrules.judge(load(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+@query("op10_arc_to_warc", """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h)::bigint as payload_bytes, sha256(h) as payload_digest from p),
+f as (select payload_digest, min(page_id) as first from d where payload_bytes >= 100 group by 1)
+select page_id, payload_bytes, d.payload_digest,
+       case when page_id <> first then 'revisit' else 'response' end as record_type,
+       case when page_id <> first then first end as refers_to
+from d left join f on d.payload_digest = f.payload_digest""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(load(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("record_id")
+
+
+@query("op1_seeded_alignment")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op2_fixed_block_repeats")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_tensor_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = minhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"), minhash.Settings(shingle=3, percent=85))
+    return got.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

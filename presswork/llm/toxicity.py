@@ -58,32 +58,32 @@ _CHARS[list(B.SPACE_BYTES)] = 0x20
 _MUL = np.uint32(0x01000193)
 
 
-def _slots(data: np.ndarray, offs: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n: the slot of the n-gram at each byte, and whether it lies in one text."""
+def _slots(data: np.ndarray, s: Settings) -> Iterator[tuple[int, np.ndarray]]:
+    """For each n: the slot of the n-gram at each byte (they may cross texts)."""
     x = (_CHARS[data] + np.uint32(1)) * np.uint32(0x9E3779B1)
-    room = np.repeat(offs[1:], np.diff(offs)) - np.arange(len(data))
     h = np.zeros(len(data), np.uint32)
     for n in range(1, s.max_n + 1):
         if len(data) < n:
             return
-        h = h[:len(data) - n + 1] * _MUL + x[n - 1:]
+        h = h[:len(data) - n + 1] * _MUL
+        h += x[n - 1:]
         if n >= s.min_n:
-            g = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) + np.uint32(n * 0xC2B2AE35 & 0xFFFFFFFF)
-            g ^= g >> np.uint32(13)
-            yield (g * np.uint32(0x27D4EB2F)) >> np.uint32(32 - s.bits), room[:len(g)] >= n
+            g = h * np.uint32(0x85EBCA6B + 2 * n)
+            g >>= np.uint32(32 - s.bits)
+            yield n, g
 
 
 def slot_sets(col: pa.Array, s: Settings, keep: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Per chunk of texts: first and end text, then (text, slot) pairs without
     repeats, ordered by text. ``keep``: mask of the slots wanted."""
     data, offs = B.text_buffers(col)
-    for a, b, part, o in B.chunks(data, offs, 1 << 20):
+    for a, b, part, o in B.chunks(data, offs, 1 << 19):
         pairs = []
-        for g, ok in _slots(part, o, s):
-            at = np.flatnonzero(ok if keep is None else ok & keep[g])
-            if len(at):
-                doc = np.searchsorted(o, at, "right") - 1
-                pairs.append(np.unique((doc.astype(np.int64) << s.bits) | g[at]))
+        for n, g in _slots(part, s):
+            at = np.arange(len(g)) if keep is None else np.flatnonzero(keep[g])
+            doc = np.searchsorted(o, at, "right") - 1
+            inside = at + n <= o[doc + 1]
+            pairs.append(np.unique((doc[inside].astype(np.int64) << s.bits) | g[at[inside]]))
         both = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         yield a, b, both >> s.bits, both & ((1 << s.bits) - 1)
 
