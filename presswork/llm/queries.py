@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import decontam, minhash, packing, quality, substring, toxicity, urlrules, warc
+from presswork.llm import decontam, embdup, minhash, packing, quality, substring, toxicity, urlrules, warc
 from presswork.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = minhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"), minhash.Settings(shingle=3, percent=85))
     return got.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op7_rotation_codes")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = embdup.near_duplicates(load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return got.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
