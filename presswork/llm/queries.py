@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import decontam, embdup, minhash, packing, quality, substring, toxicity, urlrules, warc
+from presswork.llm import decontam, embdup, minhash, packing, quality, substring, suffixlm, toxicity, urlrules, warc
 from presswork.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = embdup.near_duplicates(load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return got.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+@query("op6_suffix_tree_lm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffixlm.score_texts(load(spark, sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 7) != 2)
+    return got.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
