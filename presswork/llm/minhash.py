@@ -11,9 +11,12 @@ with the default 10 bands of 3 rows, and 0.99999 at 0.9.
 Documents with equal sets are one class, so copies never meet in pairs.
 Within a bucket each class is first verified against the bucket's smallest
 one; components of these links leave few classes of a bucket apart, and only
-pairs of a bucket that are still in different components, that sizes do not
-exclude and that the distances to the common leader do not exclude (the
-Jaccard distance is a metric) are verified in a second round. Every candidate
+pairs of a bucket that are still in different components and that none of
+three exact bounds excludes are verified in a second round: the sizes, the
+distances to the common leader (the Jaccard distance is a metric), and the
+parity maps of the sets, whose differing bits bound the symmetric difference
+from below. The bounds stand in the join itself, so a large group of copies
+that are not quite near enough does not meet in pairs. Every candidate
 pair is thus either linked through others already or compared on full sets.
 Where rows of one id differ in text, the greatest text stands for the id in
 comparisons.
@@ -104,8 +107,15 @@ def signatures(docs: DataFrame, s: Settings, text: str = "text", id_col: str = "
         run, f"doc_id {kind}, n long, f1 long, f2 long, bands array<long>")
 
 
+#: Bits of the parity map of a set.
+_MARKS = 1024
+
+
 def _sets(docs: DataFrame, s: Settings) -> DataFrame:
-    """``(rep, shingles binary)``: sorted 64-bit hashes."""
+    """``(rep, shingles binary, marks array<long>)``: sorted 64-bit hashes and,
+    for each of ``_MARKS`` bits, the parity of how many shingles fall on it. A
+    bit that differs between two sets stands for a shingle that only one has,
+    so the differing bits never exceed the symmetric difference."""
     kind = dict(docs.dtypes)["rep"]
 
     def run(batches):
@@ -113,9 +123,13 @@ def _sets(docs: DataFrame, s: Settings) -> DataFrame:
             for a, b, h, offs in shingle_sets(batch.column(1), s.shingle):
                 raw = h.tobytes()
                 sets = [raw[8 * x:8 * y] for x, y in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], names=["rep", "shingles"])
+                n = b - a
+                on = np.bincount(np.repeat(np.arange(n), np.diff(offs)) * _MARKS + (h % B.U64(_MARKS)).astype(np.int64), minlength=n * _MARKS) & 1
+                marks = np.packbits(on.astype(np.uint8)).view(np.int64)
+                marks = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (_MARKS // 64), pa.int32()), pa.array(marks))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sets, pa.binary()), marks], names=["rep", "shingles", "marks"])
 
-    return docs.select("rep", "text").mapInArrow(run, f"rep {kind}, shingles binary")
+    return docs.select("rep", "text").mapInArrow(run, f"rep {kind}, shingles binary, marks array<long>")
 
 
 def _shared(batches):
@@ -182,13 +196,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), text: str = "text
              .join(to_leader, ["a", "rep"], "left").where("rep <> a")
              .withColumn("apart", F.min("component").over(bucket) != F.max("component").over(bucket)).where("apart")
              .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("s1", "s2", "component")))
-             .withColumn("main", F.max(F.struct("same", "component")).over(bucket)["component"] == F.col("component")))
-    x, y = (open_.select("s1", "s2", *(F.col(c).alias(f"{c}{k}") for c in ("rep", "n", "component", "far", "main"))) for k in "xy")
+             .withColumn("main", F.max(F.struct("same", "component")).over(bucket)["component"] == F.col("component"))
+             .join(sets.select("rep", "marks"), "rep"))
+    x, y = (open_.select("s1", "s2", *(F.col(c).alias(f"{c}{k}") for c in ("rep", "n", "component", "far", "main", "marks"))) for k in "xy")
     # one side of a pair is outside the bucket's largest component
     y = y.where("not mainy")
     bound = 1 - s.percent / 100 + 1e-9
+    differ = F.aggregate(F.zip_with("marksx", "marksy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, d: n + d)
     second = (x.join(y, ["s1", "s2"]).where((F.col("componentx") != F.col("componenty")) & (F.col("mainx") | (F.col("repx") < F.col("repy")))
                                             & sizes_fit(F.col("nx"), F.col("ny"))
+                                            & (differ * (100 + s.percent) <= (F.col("nx") + F.col("ny")) * (100 - s.percent))
                                             & (F.col("farx").isNull() | F.col("fary").isNull() | (F.abs(F.col("farx") - F.col("fary")) <= bound)))
               .select(F.least("repx", "repy").alias("a"), F.greatest("repx", "repy").alias("b")).distinct())
     more = cut_lineage(compared(second, sets, kind).where(linked).select("a", "b"))
