@@ -67,21 +67,21 @@ def merge_sentences(df, text: str, out: str = "sentences", min_len: int = 15):
 
 
 def filter_tokens(tokens, stop: list[str] | None = None, min_len: int = 2) -> Column:
-    """K6 filter: tokens of at least ``min_len`` chars and not in ``stop``."""
+    """K6 filter: tokens of at least ``min_len`` chars whose lower case is not in ``stop``."""
     stop_arr = F.array(*[F.lit(w) for w in sorted(set(stop or []))]) if stop else None
 
     def keep(t):
         cond = F.length(t) >= min_len
         if stop_arr is not None:
-            cond = cond & ~F.array_contains(stop_arr, t)
+            cond = cond & ~F.array_contains(stop_arr, F.lower(t))
         return cond
 
     return F.filter(col_(tokens), keep)
 
 
-# Sentence pattern of U3: the shortest run ending in . ! or ? that has no
+# Fixed value: sentence pattern of U3, the shortest run ending in . ! or ? that has no
 # digit immediately before or after the mark.
-SENTENCE_RE = r"(.+?(?<!\d)[.!?](?!\d))"
+SENTENCE_RE = r"(?d)(.+?(?<!\d)[.!?](?!\d))"
 
 
 def split_sentences(c) -> Column:

@@ -7,6 +7,7 @@ only its own outlet's patterns after the common ones.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -42,7 +43,7 @@ def required_literal(pattern: str) -> str | None:
     made optional by ``?``, ``*`` or ``{0,`` is dropped; alternation or
     inline flags give no guard (None).
     """
-    if "|" in pattern or "(?" in pattern and "(?:" not in pattern:
+    if "|" in pattern or re.search(r"\(\?(?!:)", pattern):
         return None
     runs, cur, i, depth = [], "", 0, 0
     while i < len(pattern):

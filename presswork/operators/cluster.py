@@ -55,7 +55,7 @@ def drop_near_duplicates(docs: DataFrame, weights: DataFrame, group: Sequence[st
 
 
 def dbscan(docs: DataFrame, weights: DataFrame, group: Sequence[str] = tuple(G), doc: str = "n",
-           eps: float = 0.5, min_pts: int = 4, max_rounds: int = 50) -> DataFrame:
+           eps: float = 0.5, min_pts: int = 4) -> DataFrame:
     """Density clustering on cosine distance (neighbour: ``1 - sim <= eps``).
 
     Core = at least ``min_pts`` neighbours including itself. Core points are
@@ -75,14 +75,15 @@ def dbscan(docs: DataFrame, weights: DataFrame, group: Sequence[str] = tuple(G),
     cedges = (pairs.join(core, [*g, "a"], "left_semi")
               .join(core.withColumnRenamed("a", "b"), [*g, "b"], "left_semi").cache())
     lab = core.withColumn("c", F.col("a"))
-    for k in range(max_rounds):
+    k = 0
+    while True:
         nb = (cedges.join(lab.select(*g, F.col("a").alias("b"), F.col("c").alias("cb")), [*g, "b"])
               .groupBy(*g, "a").agg(F.min("cb").alias("cn")))
         new = (lab.join(nb, [*g, "a"], "left")
                .select(*g, "a", F.least("c", F.coalesce("cn", F.col("c"))).alias("c")))
         new = cut_lineage(new) if (k + 1) % 10 == 0 else new.cache()
         changed = new.join(lab.withColumnRenamed("c", "old"), [*g, "a"]).filter(F.col("c") != F.col("old")).count()
-        lab = new
+        lab, k = new, k + 1
         if changed == 0:
             break
     lab = lab.withColumn("label", (F.dense_rank().over(Window.partitionBy(*g).orderBy("c")) - 1).cast("int"))

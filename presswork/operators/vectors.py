@@ -58,14 +58,23 @@ def term_stream(docs: DataFrame, keys: Sequence[str], tokens: str = "tokens",
 
     Output one row per (keys..., term) occurrence.
     """
-    from presswork.functions.text import ngrams
     low = F.transform(F.col(tokens), lambda t: F.lower(t))
     kept = F.filter(low, lambda t: t.rlike(f"^{WORD_RE}$") & (F.length(t) >= 2))
     if stop:
         arr = F.array(*[F.lit(w) for w in sorted(set(stop))])
         kept = F.filter(kept, lambda t: ~F.array_contains(arr, t))
-    tmp = docs.select(*keys, kept.alias("_kept"))
-    return (tmp.select(*keys, F.explode_outer(ngrams("_kept", 1, n_max)).alias("term"))
+    # one row per word; the following words come by position, not by slicing
+    # the whole token array for every start
+    words = (docs.select(*keys, F.posexplode_outer(kept).alias("_pos", "_w"))
+             .filter(F.col("_w").isNotNull()))
+    at = Window.partitionBy(*keys).orderBy("_pos")
+    for k in range(1, n_max):
+        words = words.withColumn(f"_w{k}", F.lead("_w", k).over(at))
+    grams = [F.col("_w")]
+    for k in range(1, n_max):
+        grams.append(F.concat_ws(" ", "_w", *[f"_w{j}" for j in range(1, k + 1)]))
+        grams[k] = F.when(F.col(f"_w{k}").isNotNull(), grams[k])
+    return (words.select(*keys, F.explode(F.array(*grams)).alias("term"))
             .filter(F.col("term").isNotNull()))
 
 

@@ -15,8 +15,6 @@ from presswork.functions.stopwords import FUNCTION_WORDS, GENERIC_WORDS
 from presswork.operators import graph, keywords as K, vectors as V
 from presswork.sources.corpus import corpus_articles, fixed_keywords
 
-RANK_ROUNDS = 10
-
 
 def analysed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 (slot by age, modulo a day) -> K3 (title dedup per slot) -> K4 text."""
@@ -48,56 +46,51 @@ def word_nodes(st: DataFrame) -> DataFrame:
     return V.sentence_counts(st, "id", "sent").select("id", F.col("word").alias("node")).distinct()
 
 
-def article_ranks(st: DataFrame, rounds: int = RANK_ROUNDS) -> DataFrame:
-    """``(id, node, rank)``."""
-    return graph.text_rank(word_edges(st), word_nodes(st), "id", iters=rounds)
-
+def article_ranks(st: DataFrame, top: int | None = None) -> DataFrame:
+    """K7 -> K10: ``(id, node, rank)``, the solved ranks of each article's word graph."""
+    xn = V.l2_by(V.sentence_counts(st, "id", "sent"), ["id", "word"])
+    return graph.text_rank_grouped(xn, "id", "sent", top=top).select("id", F.col("word").alias("node"), "rank")
 
-def article_keywords(st: DataFrame, rounds: int = RANK_ROUNDS, method: str = "grouped") -> DataFrame:
-    """K9 -> K11: top 10 words per article ``(id, pos, word, rank)``.
 
-    ``grouped`` (default): K7/K8 in Spark, then per-article graph and rank
-    rounds in one grouped task each. ``dataframe``: the edge-table operators
-    (``word_graph`` + ``text_rank``) with all articles advancing together.
-    """
-    if method == "grouped":
-        xn = V.l2_by(V.sentence_counts(st, "id", "sent"), ["id", "word"])
-        return graph.text_rank_grouped(xn, "id", "sent", iters=rounds, top=10)
-    r = K.top_words(article_ranks(st, rounds), "id", 10)
-    return r.select("id", "pos", F.col("node").alias("word"), F.round("rank", 6).alias("rank"))
+def article_keywords(st: DataFrame) -> DataFrame:
+    """K9 -> K11: top 10 words per article ``(id, pos, word, rank)``. K7/K8 run
+    in Spark, the rank rounds of an article in one grouped task on its sparse
+    sentence x word table."""
+    xn = V.l2_by(V.sentence_counts(st, "id", "sent"), ["id", "word"])
+    return graph.text_rank_grouped(xn, "id", "sent", top=10)
 
 
-def slot_keyword_counts(spark: SparkSession, sf_dir: str, rounds: int = RANK_ROUNDS) -> DataFrame:
+def slot_keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K12 + K13: ``(slot, word, cnt)``."""
     arts = analysed_articles(spark, sf_dir)
     st = sentence_tokens(arts)
-    kw = article_keywords(st, rounds)
+    kw = article_keywords(st)
     bl = spark.createDataFrame([(w,) for w in GENERIC_WORDS], "word string")
     kw = K.drop_blacklisted(kw, bl)
     kw = kw.join(arts.select("id", "slot"), "id")
     return K.keyword_counts(kw, ["slot"], "word", "id")
 
 
-def slot_top30(spark, sf_dir, rounds=RANK_ROUNDS) -> DataFrame:
+def slot_top30(spark, sf_dir) -> DataFrame:
     """``(slot, day_id, word, cnt)``."""
-    return K.slot_top(slot_keyword_counts(spark, sf_dir, rounds), 30)
+    return K.slot_top(slot_keyword_counts(spark, sf_dir), 30)
 
 
-def merged_day(spark, sf_dir, rounds=RANK_ROUNDS) -> DataFrame:
+def merged_day(spark, sf_dir) -> DataFrame:
     """K15 -> K16."""
-    merged = K.merge_slots(slot_top30(spark, sf_dir, rounds))
+    merged = K.merge_slots(slot_top30(spark, sf_dir))
     return K.drop_fixed_overlap(merged, fixed_keywords(spark, sf_dir))
 
 
-def day_keywords(spark, sf_dir, n: int = 10, rounds=RANK_ROUNDS) -> DataFrame:
+def day_keywords(spark, sf_dir, n: int = 10) -> DataFrame:
     """``(type_id, value, cnt)``."""
-    out = K.day_keywords(merged_day(spark, sf_dir, rounds), n)
+    out = K.day_keywords(merged_day(spark, sf_dir), n)
     return out.select("type_id", F.col("word").alias("value"), "cnt")
 
 
-def cloud_words(spark, sf_dir, n: int = 15, rounds=RANK_ROUNDS) -> DataFrame:
+def cloud_words(spark, sf_dir, n: int = 15) -> DataFrame:
     """``(day_id, value, cnt)``."""
-    out = K.day_keywords(merged_day(spark, sf_dir, rounds), n, prefix="DAY_")
+    out = K.day_keywords(merged_day(spark, sf_dir), n, prefix="DAY_")
     return out.select(F.col("type_id").alias("day_id"), F.col("word").alias("value"), "cnt")
 
 

@@ -14,15 +14,19 @@ from presswork.plans.q_combos import COMBO_SQL
 G = P.G
 
 
-def combo_docs(spark, sf) -> DataFrame:
-    """P1 -> P5: ``(date, mix_id, rank, n, id, title, content, thumbnail, tokens)``;
-    ``n`` = position of the article row in the combo's concatenated list."""
+def combo_rows(spark, sf) -> DataFrame:
+    """P1 -> P3: the article rows of each combo before any filter."""
     plan = M.combo_plan(J3.combos(spark, sf))
     rows = M.combo_articles(plan, J3.articles_table(spark, sf))
     rows = rows.filter(F.col("content").isNotNull())
     w = Window.partitionBy(*G).orderBy("wpos", "id")
-    rows = rows.withColumn("n", (F.row_number().over(w) - 1).cast("int"))
-    return P.min_tokens(P.pos_tokens(rows))
+    return rows.withColumn("n", (F.row_number().over(w) - 1).cast("int"))
+
+
+def combo_docs(spark, sf) -> DataFrame:
+    """P1 -> P5: ``(date, mix_id, rank, n, id, title, content, thumbnail, tokens)``;
+    ``n`` = position of the article row in the combo's concatenated list."""
+    return P.min_tokens(P.pos_tokens(combo_rows(spark, sf)))
 
 
 def deduplicated(spark, sf) -> DataFrame:
@@ -42,12 +46,15 @@ def cluster_articles(spark, sf, max_combos: int = 5) -> DataFrame:
     docs, labels = labelled(spark, sf)
     cands = P.candidate_clusters(labels)
     terms = P.cluster_terms(docs, labels, cands)
-    qwords = docs.groupBy(*G).agg(F.array_sort(F.collect_set("keyword")).alias("qwords"))
+    # the words of the combo's rows before filters: a word whose rows were all dropped still counts
+    qwords = combo_rows(spark, sf).groupBy(*G).agg(F.array_sort(F.collect_set("keyword")).alias("qwords"))
     best = P.pick_cluster(P.coverage(terms, qwords), cands)
     w = Window.partitionBy("date").orderBy("rank")
     best = (best.join(docs.select(*G, "rank").distinct(), G)
             .withColumn("k", F.row_number().over(w) - 1).filter(F.col("k") < max_combos))
     arts = docs.join(labels, [*G, "n"]).join(best.select(*G, "label", "k"), [*G, "label"])
+    # rows of the chosen cluster are numbered 0, 1, 2, ...
+    arts = arts.withColumn("n", (F.row_number().over(Window.partitionBy(*G).orderBy("n")) - 1).cast("int"))
     return arts.select(
         "date", "mix_id", F.col("value").alias("combo"), "label", "n", "id", "title", "content", "thumbnail",
         F.concat(F.lit("MIX_"), F.col("k").cast("string")).alias("keyword_id"),

@@ -12,7 +12,8 @@ from presswork.plans.sql_common import (ANALYSED, ART, DAY_TOKENS, GENERIC, HOUR
                                         text_rank_ctes)
 from presswork.sources.corpus import corpus_articles, fixed_keywords
 
-R = J2.RANK_ROUNDS
+#: Rounds of the SQL side: more of them change no digit of the results.
+R = 200
 
 FIXED_SQL = f"""fixed AS (
   SELECT 'FIX_' || CAST(row_number() OVER (ORDER BY cnt DESC, value) - 1 AS VARCHAR) AS type_id,
@@ -94,22 +95,20 @@ def k9_word_graph(spark, sf):
     return J2.word_edges(st).select("id", "src", "dst", F.round("w", 6).alias("w"))
 
 
-_NODES = "nodes AS (SELECT DISTINCT id, word AS node FROM cnt)"
-
-K10_SQL = (f"WITH {DAY_TOKENS}, {_NODES}, {text_rank_ctes('edges', 'nodes', 'id', R)}\n"
-           f"SELECT id, node, round(x, 6) AS rank FROM r{R}")
+K10_SQL = (f"WITH {DAY_TOKENS}, {text_rank_ctes(R)}\n"
+           f"SELECT id, node, round(round(x, 9), 6) AS rank FROM r{R}")
 
 
 @query("k10_text_rank", K10_SQL)
 def k10_text_rank(spark, sf):
     st = J2.sentence_tokens(J2.analysed_articles(spark, sf))
-    return J2.article_ranks(st).select("id", "node", F.round("rank", 6).alias("rank"))
+    return J2.article_ranks(st)
 
 
-K11_CTE = f"""{_NODES}, {text_rank_ctes('edges', 'nodes', 'id', R)},
+K11_CTE = f"""{text_rank_ctes(R)},
 top AS (
-  SELECT id, CAST(pos AS INTEGER) AS pos, node AS word, round(x, 6) AS rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(x, 6) DESC, node) - 1 AS pos FROM r{R})
+  SELECT id, CAST(pos AS INTEGER) AS pos, node AS word, round(round(x, 9), 6) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(round(x, 9), 6) DESC, node) - 1 AS pos FROM r{R})
   WHERE pos < 10)"""
 
 

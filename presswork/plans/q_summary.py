@@ -26,12 +26,15 @@ def keyword_sentences(spark, sf) -> DataFrame:
 
 
 def keyword_summaries(spark, sf) -> DataFrame:
-    """``(date, keyword, summary)``; keywords without sentences are skipped."""
+    """``(date, keyword, summary, converged)``; keywords without sentences
+    are skipped (U15). ``converged`` is false where the ranks still moved when
+    the rounds ended, so such a summary is not taken for a finished one."""
     s = U.drop_redundant(keyword_sentences(spark, sf), KG, ["node"], 0.7, "min").cache()
     edges = U.sentence_graph(s, KG)
     nodes = s.select(*KG, "node")
     ranks = graph.div_rank_converged(edges, nodes, KG)
-    return U.summary_by_score(ranks, s, KG, 4)
+    state = ranks.groupBy(*KG).agg(F.min("converged").alias("converged"))
+    return U.summary_by_score(ranks, s, KG, 4).join(state, KG)
 
 
 @query("u2_cap_articles", f"""WITH {ARTICLES_SQL}

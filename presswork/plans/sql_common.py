@@ -19,7 +19,7 @@ STOP = sql_list(FUNCTION_WORDS)
 GENERIC = sql_list(GENERIC_WORDS)
 
 ART = """art AS (
-  SELECT d.doc_id AS id, substr(split_part(d.text, chr(10), 1), 1, 60) AS title,
+  SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS title,
          d.text AS content, CAST(NULL AS VARCHAR) AS thumbnail, d.source AS agency,
          d.lang AS category, CAST(e.ts AS TIMESTAMP) AS ts, CAST(CAST(e.ts AS TIMESTAMP) AS DATE) AS date
   FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id)"""
@@ -57,7 +57,7 @@ def merge_sentences_cte(name: str, src: str, keys: str, text: str = "text", min_
 
 def tokens_expr(col: str, stop: str = STOP, min_len: int = 2) -> str:
     return (f"list_filter(regexp_extract_all({col}, '{WORD}'), "
-            f"lambda t: length(t) >= {min_len} AND NOT list_contains({stop}, t))")
+            f"lambda t: length(t) >= {min_len} AND NOT list_contains({stop}, lower(t)))")
 
 
 # K5 + K6 + K7 (counts) on the analysed articles
@@ -74,22 +74,20 @@ edges AS (
   FROM xn a JOIN xn b ON a.id = b.id AND a.sent = b.sent GROUP BY ALL)"""
 
 
-def text_rank_ctes(edges: str, nodes: str, keys: str, rounds: int, prefix: str = "r",
-                   d: float = 0.85) -> str:
-    """Fixed-round TextRank as chained CTEs; the last one is ``{prefix}{rounds}``."""
-    on = " AND ".join(f"r.{k.strip()} = e.{k.strip()}" for k in keys.split(","))
-    on2 = " AND ".join(f"s.{k.strip()} = n.{k.strip()}" for k in keys.split(","))
-    ek = ", ".join(f"e.{k.strip()}" for k in keys.split(","))
-    nk = ", ".join(f"n.{k.strip()}" for k in keys.split(","))
-    parts = [f"""{prefix}_en AS (
-  SELECT {keys}, src, dst, w / sum(w) OVER (PARTITION BY {keys}, src) AS m
-  FROM {edges} WHERE src <> dst AND w <> 0),
-{prefix}0 AS (SELECT {keys}, node, CAST(1.0 AS DOUBLE) AS x FROM {nodes})"""]
+def text_rank_ctes(rounds: int, prefix: str = "r", d: float = 0.85) -> str:
+    """TextRank of the word graphs of ``xn`` as chained CTEs, so many rounds
+    that no digit moves; the last one is ``{prefix}{rounds}``. A round is two
+    sparse products with the sentence x word table, less the diagonal."""
+    parts = [f"""{prefix}_b AS (
+  SELECT id, sent, word, x, CASE WHEN sum(x * (s - x)) OVER (PARTITION BY id, word) > 0
+         THEN 1 / sum(x * (s - x)) OVER (PARTITION BY id, word) ELSE 0 END AS iv
+  FROM (SELECT *, sum(x) OVER (PARTITION BY id, sent) AS s FROM xn)),
+{prefix}0 AS (SELECT DISTINCT id, word AS node, CAST(1.0 AS DOUBLE) AS x FROM xn)"""]
     for k in range(1, rounds + 1):
         parts.append(f"""{prefix}{k} AS (
-  SELECT {nk}, n.node, (1 - {d}) + {d} * coalesce(s.s, 0) AS x
-  FROM {nodes} n LEFT JOIN (
-    SELECT {ek}, e.dst AS node, sum(e.m * r.x) AS s
-    FROM {prefix}_en e JOIN {prefix}{k - 1} r ON {on} AND r.node = e.src GROUP BY ALL) s
-  ON {on2} AND s.node = n.node)""")
+  SELECT id, word AS node, (1 - {d}) + {d} * sum(x * (t - xy)) AS x
+  FROM (SELECT id, word, x, xy, sum(xy) OVER (PARTITION BY id, sent) AS t
+        FROM (SELECT b.id, b.sent, b.word, b.x, b.x * b.iv * r.x AS xy
+              FROM {prefix}_b b JOIN {prefix}{k - 1} r ON r.id = b.id AND r.node = b.word))
+  GROUP BY ALL)""")
     return ",\n".join(parts)

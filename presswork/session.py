@@ -62,16 +62,20 @@ def group_partitions(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared folder; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    On a cluster this must be a shared folder, and it is an error if it is
+    unset; under a ``local[...]`` master a scratch folder is created then.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        have = spark.sparkContext._jsc.sc().getCheckpointDir()
+        d = have.get() if have.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="presswork-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -1,7 +1,7 @@
 """Driver tables and the article model derived from them.
 
 Mapping (see README): ``documents`` rows are articles (id = doc_id, outlet =
-source, category = lang, title = first line cut to 60 chars), publish time is
+source, category = lang, title = first line), publish time is
 ``events.ts`` of the event with ``event_id = doc_id``.
 """
 
@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def title_of(text) -> F.Column:
-    """Title = text before the first newline, cut to 60 characters."""
-    return F.substring(F.substring_index(text, "\n", 1), 1, 60)
+    """Title = text before the first newline, whole."""
+    return F.substring_index(text, "\n", 1)
 
 
 def corpus_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
