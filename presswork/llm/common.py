@@ -49,5 +49,7 @@ def spread(spark: SparkSession) -> int:
 
 
 def text_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of ``df``: for a scan, its stored bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Catalyst's estimate of the size of ``df``: for a scan, its stored bytes;
+    0 where it has none (rows that do not come from files)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 53 else 0

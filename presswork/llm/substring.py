@@ -17,9 +17,10 @@ Steps, all balanced by fingerprint or id:
    smaller document's block, and the blocks so met; the answer is a list of
    fingerprints per document. Only what a destination holds is compared, so
    4 bytes beside the destination's own bits are enough for a filter that
-   loses nothing; chance hits end in step 2.
+   loses nothing; chance hits end in step 2. Answers are packed by destination
+   of their documents again, so rows do not multiply with destinations.
 2. Windows: documents meet their answers by id; windows around anchored
-   places are sent as 16-byte fingerprints, and those that start in a smaller
+   places are sent as 12-byte fingerprints, and those that start in a smaller
    document are answered in the same way.
 3. Documents meet the answers by id and are cut.
 
@@ -76,12 +77,12 @@ def _rows(part: np.ndarray, ids: np.ndarray, values: np.ndarray) -> pa.RecordBat
     ends = np.append(first, len(entry))
     at = np.append(entry, len(part))[ends]
 
-    def packed(x: np.ndarray, cuts: np.ndarray, width: int) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+    def packed(x: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        raw = pa.py_buffer(np.ascontiguousarray(x).view(np.uint8))
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((cuts * x.dtype.itemsize).astype(np.int32)), raw])
 
     return pa.RecordBatch.from_arrays(
-        [pa.array(part[entry][first], pa.int32()), packed(ids[entry], ends, 8), packed(size, ends, 4),
-         packed(values, at, values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1))],
+        [pa.array(part[entry][first], pa.int32()), packed(ids[entry], ends), packed(size, ends), packed(values, at)],
         names=["part", "ids", "sizes", "fingerprints"])
 
 
@@ -96,8 +97,23 @@ def _unpacked(group: pa.Table, kind) -> tuple[np.ndarray, np.ndarray]:
     return whole("fingerprints", kind), np.repeat(whole("ids", np.int64), whole("sizes", np.uint32).astype(np.int64))
 
 
-def _answers(doc: np.ndarray, values: np.ndarray) -> pa.Table:
-    """``(doc_id, packed values)`` rows."""
+def _answers(doc: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
+    """The values packed by destination of their documents."""
+    dest = _place(B.mix64(doc.astype(np.uint64)), parts)
+    order = np.lexsort((doc, dest))
+    got = [_rows(dest[order], doc[order], values[order])] if len(doc) else []
+    return pa.Table.from_batches(got, _PACKED_ARROW)
+
+
+_PACKED_ARROW = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("fingerprints", pa.binary())])
+
+
+_ANSWER = "doc_id long, answer binary"
+
+
+def _by_document(group: pa.Table, kind) -> pa.Table:
+    """A row per document with all its answers."""
+    values, doc = _unpacked(group, kind)
     order = np.argsort(doc, kind="stable")
     doc, values = doc[order], values[order]
     row, _ = _groups(doc)
@@ -106,9 +122,6 @@ def _answers(doc: np.ndarray, values: np.ndarray) -> pa.Table:
     return pa.table([pa.array(doc[row], pa.int64()), packed], names=["doc_id", "answer"])
 
 
-_ANSWER = "doc_id long, answer binary"
-
-
 # --- step 1: anchors ------------------------------------------------------
 
 def _probes(batches, s: Settings, parts: int):
@@ -134,7 +147,7 @@ def _probes(batches, s: Settings, parts: int):
             yield _rows(part[order], ids[a:b][doc[keep]], (h[keep] & B.U64(0xFFFFFFFF)).astype(np.uint32))
 
 
-def _anchored(group: pa.Table) -> pa.Table:
+def _anchored(group: pa.Table, parts: int) -> pa.Table:
     """Which fingerprints of a destination are anchored, per document: probes
     that are a smaller document's block, and blocks that a larger one probes."""
     low, doc = _unpacked(group, np.uint32)
@@ -148,18 +161,15 @@ def _anchored(group: pa.Table) -> pa.Table:
         most = np.maximum.reduceat(doc, start)
         keep = (doc > least[each]) | (block & (doc < most[each]))
         doc, low = doc[keep], low[keep]
-    return _answers(doc, low)
+    return _answers(doc, low, parts)
 
 
 # --- step 2: windows ------------------------------------------------------
 
 def _lists(col: pa.Array) -> list[np.ndarray]:
-    """The joined bytes of each document's answers; none where there are none."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    raw, offs = B.text_buffers(col.values)
-    at = offs[col.offsets.to_numpy()]
-    return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    """The bytes of each document's answer; none where there is none."""
+    raw, offs = B.text_buffers(col.cast(pa.large_binary()))
+    return [raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
 
 
 def _keys(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -190,12 +200,16 @@ def _candidates(w: B.Words, answers: list[np.ndarray], s: Settings) -> tuple[np.
     return win[keep], of[keep]
 
 
+#: A window's full fingerprint: 96 bits.
+_FULL = np.dtype([("h", np.uint64), ("g", np.uint32)])
+
+
 def _windows(batches, s: Settings, parts: int):
     """Distinct fingerprints of the candidate windows of each document."""
     for batch in batches:
         data, offs = B.text_buffers(batch.column("text"))
         ids = batch.column("doc_id").to_numpy()
-        answers = _lists(batch.column("answers"))
+        answers = _lists(batch.column("answer"))
         for a, b, piece, o in B.chunks(data, offs):
             w = B.words(piece, o)
             win, doc = _candidates(w, answers[a:b], s)
@@ -208,12 +222,14 @@ def _windows(batches, s: Settings, parts: int):
             order = np.lexsort((h, doc, part))
             part, doc, h, g = part[order], doc[order], h[order], g[order]
             start, _ = _groups(part, doc, h, g)
-            yield _rows(part[start], doc[start], np.column_stack([h[start], g[start]]))
+            both = np.empty(len(start), _FULL)
+            both["h"], both["g"] = h[start], g[start] >> B.U64(32)
+            yield _rows(part[start], doc[start], both)
 
 
-def _repeated(group: pa.Table) -> pa.Table:
+def _repeated(group: pa.Table, parts: int) -> pa.Table:
     """Windows of a destination that also start in a smaller document."""
-    both, doc = _unpacked(group, np.dtype([("h", np.uint64), ("g", np.uint64)]))
+    both, doc = _unpacked(group, _FULL)
     h, g = both["h"], both["g"]
     order = np.lexsort((g, h))
     h, g, doc = h[order], g[order], doc[order]
@@ -221,7 +237,7 @@ def _repeated(group: pa.Table) -> pa.Table:
     if len(start):
         keep = doc > np.minimum.reduceat(doc, start)[each]
         doc, h = doc[keep], h[keep]
-    return _answers(doc, h)
+    return _answers(doc, h, parts)
 
 
 # --- step 3: cut ----------------------------------------------------------
@@ -229,7 +245,7 @@ def _repeated(group: pa.Table) -> pa.Table:
 def _cut(batches, s: Settings, carry: list[str]):
     for batch in batches:
         data, offs = B.text_buffers(batch.column("text"))
-        answers = _lists(batch.column("answers"))
+        answers = _lists(batch.column("answer"))
         for a, b, piece, o in B.chunks(data, offs):
             w = B.words(piece, o)
             n = b - a
@@ -274,19 +290,20 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), text: str = "text"
                        *(F.col(f"`{c}`").alias(n) for c, n in zip(carry[2:], names[2:], strict=True)))
     known = rows.where("doc_id is not null")
     # a destination holds the probes of about 8 MB of stored input
-    parts = parts or max(spread(spark), text_bytes(docs) // (8 << 20))
+    parts = parts or max(spread(spark), min(text_bytes(docs) // (8 << 20), 1 << 16))
 
-    def answered(packed: DataFrame, merge) -> DataFrame:
-        got = packed.groupBy("part").applyInArrow(merge, _ANSWER)
-        return got.groupBy("doc_id").agg(F.collect_list("answer").alias("answers"))
+    def answered(packed: DataFrame, merge, kind) -> DataFrame:
+        got = packed.groupBy("part").applyInArrow(lambda t: merge(t, parts), _PACKED)
+        return got.groupBy("part").applyInArrow(lambda t: _by_document(t, kind), _ANSWER)
 
-    anchors = answered(known.select("doc_id", "text").mapInArrow(lambda it: _probes(it, s, parts), _PACKED), _anchored)
+    anchors = answered(known.select("doc_id", "text").mapInArrow(lambda it: _probes(it, s, parts), _PACKED), _anchored, np.uint32)
     # both joins read the same columns, so that the texts are shuffled once
-    met = known.join(anchors, "doc_id").select(*names, "answers")
-    repeats = answered(met.mapInArrow(lambda it: _windows(it, s, parts), _PACKED), _repeated)
-    none = F.array().cast("array<binary>")
-    last = known.join(repeats, "doc_id", "left").select(*names, F.coalesce("answers", none).alias("answers"))
-    last = last.unionByName(rows.where("doc_id is null").withColumn("answers", none))
+    met = known.join(anchors, "doc_id").select(*names, "answer")
+    repeats = answered(met.mapInArrow(lambda it: _windows(it, s, parts), _PACKED), _repeated, np.uint64)
+    none = F.lit(b"")
+    last = known.join(repeats, "doc_id", "left").select(*names, F.coalesce("answer", none).alias("answer"))
+    # in this order the optimiser leaves both reads of the texts alike, and their shuffle is used twice
+    last = rows.where("doc_id is null").withColumn("answer", none).unionByName(last)
     kind = {"doc_id": "long", "text": kinds[text], **{n: kinds[c] for c, n in zip(carry[2:], names[2:], strict=True)}}
     schema = ", ".join(f"{n} {kind[n]}" for n in names) + ", n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept string"
     out = last.mapInArrow(lambda it: _cut(it, s, names), schema)
