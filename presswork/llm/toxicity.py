@@ -37,7 +37,7 @@ from presswork.llm.common import cut_lineage
 class Settings:
     min_n: int = 3
     max_n: int = 6
-    bits: int = 20
+    bits: int = 22
     max_rows: int = 5000       # labelled texts per class used for the fit
     max_features: int = 8192   # most significant slots that get a weight
     min_g: float = 15.0        # least likelihood ratio statistic of a slot's counts
@@ -141,10 +141,11 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str
               .orderBy(F.desc("g"), "slot").limit(s.max_features).toPandas().sort_values("slot"))
     slots, r = chosen["slot"].to_numpy(np.int64), chosen["r"].to_numpy(float)
     design = sets.mapInArrow(lambda it: _selected(it, slots), "toxic int, slots array<int>")
-    got = design.toPandas()  # at most 2 * max_rows rows of at most max_features places
-    y = got["toxic"].to_numpy(float)
-    rows = np.repeat(np.arange(len(y)), [len(x) for x in got["slots"]])
-    cols = np.searchsorted(slots, np.concatenate([np.asarray(x, np.int64) for x in got["slots"]] or [none]))
+    got = design.toArrow()  # at most 2 * max_rows rows of at most max_features places
+    y = got.column("toxic").to_numpy().astype(float)
+    lists = got.column("slots").combine_chunks()
+    rows = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
+    cols = np.searchsorted(slots, lists.flatten().to_numpy())
     w, bias = _logistic(rows, cols, r, y, s.l2)
     return Model(s, slots, w * r, bias)
 
