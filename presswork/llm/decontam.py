@@ -1,9 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower-cased. Each benchmark item is cut
-into stretches of ``stretch`` words; of the n-grams that start in a stretch
-the one found in the fewest documents of the corpus (a count over all of them)
-is its seed. A document passage that holds a seed of an item is joined to it
+Words are runs of letters and digits, lower-cased. Seeds of a benchmark item
+are all its runs of ``n`` and of ``n - 1`` words that at most ``common`` of the
+corpus's documents hold (or ``least_common`` documents, if that is more; a
+count over all documents). Where a stretch of ``stretch`` words has no n-gram
+below that bound that any document holds, all n-grams that start in it are
+seeds. A document passage that holds a seed of an item is joined to it
 and a window around the seed's diagonal is aligned with the whole item by
 Smith-Waterman (match 2, mismatch -1, gap -1 a word). The score is the
 alignment's part of a full match; pairs at ``threshold`` or more are returned.
@@ -33,8 +35,10 @@ from presswork.llm import bytesops as B
 
 @dataclass(frozen=True)
 class Settings:
-    n: int = 3                 # words of a seed
-    stretch: int = 4           # item words for each seed
+    n: int = 3                 # words of a seed; runs of n - 1 are seeds too
+    stretch: int = 4           # item words that have a seed, however frequent
+    common: float = 0.01       # part of the documents that a seed may be in
+    least_common: int = 100    # documents that a seed may be in, however few there are
     threshold: float = 0.5
     slack: float = 0.25        # window beyond the item's length, as a part of it, on each side
     pass_words: int = 2_000_000
@@ -51,38 +55,39 @@ class Items:
         w = B.words(data, offs, B.PLAIN_SEPARATOR)
         self.ids, self.hash, self.first, self.s = ids, w.hash, w.first, s
         length = np.diff(w.first)
-        self.size = np.minimum(length, s.n)  # words of the item's seeds
-        grams, item, at = [], [], []
-        for k in np.unique(self.size[self.size > 0]).tolist():
+        size = np.minimum(length, s.n)  # words of the item's longer seeds
+        self.vocabulary, self.word = np.unique(w.hash, return_inverse=True)
+        grams, item, at, span = [], [], [], []
+        for k in range(1, s.n + 1):
             pos, doc = B.window_starts(w.first, k)
-            mine = self.size[doc] == k
+            mine = (size[doc] == k) | ((size[doc] == s.n) & (k == s.n - 1))
             grams.append(B.window_hashes(w.hash, k)[pos[mine]])
             item.append(doc[mine])
             at.append(pos[mine] - w.first[doc[mine]])
-        none = np.zeros(0, np.int64)
-        self.gram = np.concatenate(grams) if grams else np.zeros(0, B.U64)
-        self.item, self.at = (np.concatenate(x) if x else none for x in (item, at))
+            span.append(np.full(int(mine.sum()), k))
+        self.gram = np.concatenate(grams)
+        self.item, self.at, self.span = (np.concatenate(x) for x in (item, at, span))
+        self.whole = self.span == size[self.item]
         self._index()
 
     def _index(self) -> None:
-        order = np.lexsort((self.at, self.item, self.gram))
-        self.gram, self.item, self.at = self.gram[order], self.item[order], self.at[order]
+        self._take(np.lexsort((self.at, self.item, self.gram)))
         self.keys, self.key_start = np.unique(self.gram, return_index=True)
         self.key_size = np.diff(np.append(self.key_start, len(self.gram)))
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[self.keys >> B.U64(64 - _FILTER_BITS)] = True
-        self.sizes = np.unique(self.size[self.size > 0]).tolist()
+        self.sizes = np.unique(self.span).tolist()
+
+    def _take(self, x: np.ndarray) -> None:
+        self.gram, self.item, self.at, self.span, self.whole = self.gram[x], self.item[x], self.at[x], self.span[x], self.whole[x]
 
-    def keep_rarest(self, counts: np.ndarray) -> None:
-        """Of each item's stretch keeps the n-gram of the smallest count."""
+    def keep_seeds(self, counts: np.ndarray, docs: int) -> None:
+        """Keeps the n-grams that are seeds; those that no document has find nothing."""
         n = counts[np.searchsorted(self.keys, self.gram)]
-        stretch = self.at // self.s.stretch
-        order = np.lexsort((self.at, n, stretch, self.item))
-        item, stretch = self.item[order], stretch[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1])
-        keep = order[new]
-        self.gram, self.item, self.at = self.gram[keep], self.item[keep], self.at[keep]
+        rare = (n > 0) & (n <= max(self.s.common * docs, self.s.least_common))
+        _, stretch = np.unique(self.item * (1 << 32) + self.at // self.s.stretch, return_inverse=True)
+        has = np.bincount(stretch, rare & self.whole) > 0
+        self._take(rare | ((n > 0) & self.whole & ~has[stretch]))
         self._index()
 
     def hits(self, w: B.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +127,26 @@ def smith_waterman(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, n
     return best, end
 
 
+def _common(words: np.ndarray, code: np.ndarray, local: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Words that an item and each window have in common, repeats counted: no
+    alignment matches more. ``local``: -1 for each word, as it is left."""
+    each, times = np.unique(words, return_counts=True)
+    local[each] = np.arange(len(each))
+    out = np.zeros(len(first), np.int64)
+    upto = np.cumsum(end - first) + np.arange(1, len(first) + 1) * len(each)
+    a = 0
+    while a < len(first):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + (1 << 20), "right")))
+        size = end[a:b] - first[a:b]
+        at = local[code[B.ranges(first[a:b], size)]]
+        cell = np.repeat(np.arange(b - a) * len(each), size)[at >= 0] + at[at >= 0]
+        seen = np.bincount(cell, minlength=(b - a) * len(each)).reshape(b - a, len(each))
+        out[a:b] = np.minimum(seen, times).sum(axis=1)
+        a = b
+    local[each] = -1
+    return out
+
+
 def _align(items: Items, w: B.Words, pos: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
     """Text, item, score, first and end word of the best alignment of each pair
     that reaches the threshold."""
@@ -145,14 +170,16 @@ def _align(items: Items, w: B.Words, pos: np.ndarray, key: np.ndarray) -> Iterat
     end = np.minimum(diagonal[stop] + length[item[run]] + slack[run], w.first[doc[run] + 1])
     item, doc = item[run], doc[run]
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for i in np.unique(item).tolist():
+    code = np.searchsorted(items.vocabulary, w.hash).clip(max=len(items.vocabulary) - 1)
+    code[items.vocabulary[code] != w.hash] = len(items.vocabulary)
+    local = np.full(len(items.vocabulary) + 1, -1)
+    group = np.argsort(item, kind="stable")
+    cut = np.flatnonzero(np.concatenate([[True], np.diff(item[group]) > 0, [True]]))
+    for mine in (group[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)):
+        i = int(item[mine[0]])
         words = items.hash[items.first[i]:items.first[i + 1]]
         need = s.threshold * 2 * len(words)
-        mine = np.flatnonzero(item == i)
-        # at most two points for each word of the window that the item has
-        known = np.isin(w.hash, words)
-        upto = np.concatenate([[0], np.cumsum(known)])
-        mine = mine[2 * (upto[end[mine]] - upto[first[mine]]) >= need]
+        mine = mine[2 * _common(items.word[items.first[i]:items.first[i + 1]], code, local, first[mine], end[mine]) >= need]
         mine = mine[np.argsort(end[mine] - first[mine], kind="stable")]
         while len(mine):
             width = int(end[mine[0]] - first[mine[0]])
@@ -188,16 +215,17 @@ def _chunks(batches) -> Iterator[tuple[pa.Array, B.Words]]:
 
 
 def _count(batches, items: Items):
-    """Documents of the task that have each n-gram of the items."""
-    total = np.zeros(len(items.keys), np.int64)
+    """Documents of the task that have each n-gram of the items; under -1 all."""
+    total, docs = np.zeros(len(items.keys), np.int64), 0
     for _, w in _chunks(batches):
+        docs += len(w.first) - 1
         pos, key = items.hits(w)
         if len(pos):
             doc = np.searchsorted(w.first, pos, "right") - 1
             pair = np.unique(doc * len(items.keys) + key)
             total += np.bincount(pair % len(items.keys), minlength=len(total))
     at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], docs))], names=["gram", "n"])
 
 
 def _match(batches, items: Items, kind: pa.DataType):
@@ -230,9 +258,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
         counts = np.zeros(len(index.keys), np.int64)
         if len(index.keys):
             got = (texts.mapInArrow(lambda it, index=index: _count(it, index), "gram long, n long")
-                   .groupBy("gram").agg(F.sum("n").alias("n")).toPandas())  # at most one row per n-gram of the pass
-            counts[got["gram"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-            index.keep_rarest(counts)
+                   .groupBy("gram").agg(F.sum("n").alias("n")).toPandas())  # at most one row per n-gram of the pass, and one
+            gram, n = got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+            counts[gram[gram >= 0]] = n[gram >= 0]
+            index.keep_seeds(counts, int(n[gram < 0].sum()))
         part = texts.mapInArrow(lambda it, index=index: _match(it, index, arrow) if len(index.keys) else iter(()), schema)
         out = part if out is None else out.unionByName(part)
     return out

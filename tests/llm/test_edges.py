@@ -166,6 +166,39 @@ def test_decontamination(spark, docs):
     assert sorted(map(str, many)) == sorted(map(str, got))
 
 
+def test_decontamination_of_edited_copies(spark):
+    """Copies with 10 to 30% of their words changed, beside whole copies of the
+    items: every pair that Smith-Waterman finds without seeds, and its score."""
+    rng = np.random.default_rng(8)
+    known = [f"k{x}" for x in range(400)]
+    items = [[known[int(x)] for x in 400 * rng.random(int(n)) ** 2] for n in rng.integers(12, 45, 40)]
+    texts = [[known[int(x)] for x in 400 * rng.random(60) ** 2] for _ in range(60)] + [["so", *w, "on"] for w in items[:20]]
+    for share in (0.1, 0.2, 0.3):
+        for w in items * 3:
+            out = []
+            for x in w:
+                kind = rng.integers(0, 6) if rng.random() < share else 6
+                out += [] if kind == 0 else [x, "added"] if kind == 1 else [f"e{rng.integers(0, 99)}"] if kind < 6 else [x]
+            lead = [known[int(x)] for x in rng.integers(0, 400, 25)]
+            texts.append([*lead, *out, *lead[::-1]])
+    number: dict[str, int] = {}
+    codes = [np.array([number.setdefault(x, len(number) + 1) for x in w], np.uint64) for w in [*items, *texts]]
+    grid = np.zeros((len(texts), max(map(len, texts))), np.uint64)
+    for i, w in enumerate(codes[len(items):]):
+        grid[i, :len(w)] = w
+    want = {}
+    for k, w in enumerate(codes[:len(items)]):
+        score = decontam.smith_waterman(w, grid)[0] / (2 * len(w))
+        want |= {(i, k): float(score[i]) for i in np.flatnonzero(score >= 0.5).tolist()}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert len(want) > 350 and got == want
+    # all n-grams frequent, or all but absent ones: still found
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench, decontam.Settings(common=0.0, least_common=0)).collect()}
+    assert len(set(got) & set(want)) > 0.97 * len(want)
+
+
 def test_alignment_against_plain_version():
     rng = np.random.default_rng(2)
     for _ in range(30):
