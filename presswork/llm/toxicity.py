@@ -15,8 +15,10 @@ score is the share of toxic labels (0.5 without labels). Scores use only the
 text. Repeated label rows of a document count once (toxic if any says so).
 
 The fit uses at most ``max_rows`` labelled texts per class (chosen by a hash
-of the id, so that the choice does not depend on the order of rows); scoring
-covers every row and whole texts.
+of the id, so that the choice does not depend on the order of rows). In the
+logistic loss each stands for its share of its class's labelled texts, so the
+intercept is that of all labels; the ratios r are of shares within a class,
+which the choice does not move. Scoring covers every row and whole texts.
 """
 
 from __future__ import annotations
@@ -98,29 +100,30 @@ def _features(batches, s: Settings, keep: np.ndarray | None):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str = "text",
-                  id_col: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """At most ``max_rows`` labelled texts of each class: ``(toxic, text)``."""
+                  id_col: str = "doc_id", label: str = "toxic") -> tuple[DataFrame, dict[int, int]]:
+    """At most ``max_rows`` labelled texts of each class, ``(toxic, text)``, and
+    how many labelled ids each class has in all."""
     one = (labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("toxic"))
            .where(F.col("k").isNotNull() & F.col("toxic").isin(0, 1))
            .groupBy("k").agg(F.max("toxic").alias("toxic")))
     # one row per labelled id that has a document, then a bounded choice by hash
     have = docs.select(F.col(id_col).alias("k")).where("k is not null").distinct()
-    one = one.join(have, "k", "left_semi")
+    one = cut_lineage(one.join(have, "k", "left_semi"))
+    size = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pick = None
     for c in (0, 1):
         part = one.where(F.col("toxic") == c).orderBy(F.xxhash64("k"), "k").limit(s.max_rows)
         pick = part if pick is None else pick.unionByName(part)
     # bounded by 2 * max_rows rows of two small columns
     return (docs.select(F.col(id_col).alias("k"), F.col(text).alias("text"))
-            .join(F.broadcast(pick), "k").select("toxic", "text"))
+            .join(F.broadcast(pick), "k").select("toxic", "text")), size
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str = "text",
         id_col: str = "doc_id", label: str = "toxic") -> Model:
     none = np.zeros(0, np.int64)
-    sets = training_rows(docs, labels, s, text, id_col, label).mapInArrow(
-        lambda it: _features(it, s, None), "toxic int, slots array<int>")
-    sets = cut_lineage(sets)
+    texts, labelled = training_rows(docs, labels, s, text, id_col, label)
+    sets = cut_lineage(texts.mapInArrow(lambda it: _features(it, s, None), "toxic int, slots array<int>"))
     size = {r["toxic"]: r["n"] for r in sets.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_tox, n_clean = size.get(1, 0), size.get(0, 0)
     if not n_tox or not n_clean:
@@ -146,7 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str
     lists = got.column("slots").combine_chunks()
     rows = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
     cols = np.searchsorted(slots, lists.flatten().to_numpy())
-    w, bias = _logistic(rows, cols, r, y, s.l2)
+    # a chosen text stands for all of its class: the classes weigh as among the labels
+    weight = np.where(y == 1, labelled[1] / n_tox, labelled[0] / n_clean)
+    w, bias = _logistic(rows, cols, r, y, weight, s.l2)
     return Model(s, slots, w * r, bias)
 
 
@@ -162,26 +167,27 @@ def _selected(batches, slots: np.ndarray):
             names=["toxic", "slots"])
 
 
-def _logistic(rows, cols, r, y, l2, steps: int = 1500):
-    """L2 logistic regression on the scaled features; accelerated gradient
-    steps with the Lipschitz bound of the design."""
-    n, k = len(y), len(r)
-    w, bias = np.zeros(k), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
+def _logistic(rows, cols, r, y, weight, l2, steps: int = 1500):
+    """L2 logistic regression on the scaled features, with a weight a row;
+    accelerated gradient steps with the Lipschitz bound of the design."""
+    n, k, total = len(y), len(r), float(weight.sum())
+    toxic = float(weight @ y)
+    w, bias = np.zeros(k), float(np.log((toxic + 1) / (total - toxic + 1)))
     if not k:
         return w, bias
     x = r[cols]
     u = np.ones(k + 1)
     for _ in range(30):  # largest eigenvalue of the design with its constant column
         u /= np.linalg.norm(u)
-        z = np.bincount(rows, x * u[cols], n) + u[k]
+        z = weight * (np.bincount(rows, x * u[cols], n) + u[k])
         u = np.append(np.bincount(cols, x * z[rows], k), z.sum())
-    step = 1.0 / (0.26 * float(np.linalg.norm(u)) / n + l2 / n)
+    step = 1.0 / (0.26 * float(np.linalg.norm(u)) / total + l2 / total)
     v, vb, t = w.copy(), bias, 1.0
     for _ in range(steps):
         z = np.bincount(rows, x * v[cols], n) + vb
-        err = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
-        nw = v - step * (np.bincount(cols, x * err[rows], k) / n + l2 / n * v)
-        nb = vb - step * float(err.mean())
+        err = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
+        nw = v - step * (np.bincount(cols, x * err[rows], k) / total + l2 / total * v)
+        nb = vb - step * float(err.sum()) / total
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - bias)
         w, bias, t = nw, nb, nt

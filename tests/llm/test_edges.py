@@ -150,6 +150,32 @@ def test_classifiers(spark, docs):
     assert toxicity.fit(docs, empty(labelled(spark))).bias == 0.0
 
 
+def toxic_table(spark, n=1500):
+    """Texts of 30 common words, about one in ten labelled toxic; most toxic
+    texts and a few clean ones have words of their own."""
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = int(rng.random() < 0.1)
+        w = [f"plain{x}" for x in rng.integers(0, 90, 30)]
+        for word, chance in (("grolk", 0.5), ("zubbit", 0.4), ("vexnar", 0.3)):
+            if rng.random() < (chance if toxic else 0.06):
+                w[int(rng.integers(0, 30))] = word
+        rows.append((i, " ".join(w)))
+        labels.append((i, toxic))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_with_and_without_the_cap(spark):
+    """The cap on labelled rows does not move the scores: as many are over the cut."""
+    docs, labels = toxic_table(spark)
+    whole, capped = (toxicity.fit(docs, labels, toxicity.Settings(max_rows=n)) for n in (5000, 150))
+    a, b = ({r.doc_id: r.score for r in toxicity.score(docs, m).collect()} for m in (whole, capped))
+    assert abs(whole.bias - capped.bias) < 0.7
+    assert sum((a[i] >= 0.5) != (b[i] >= 0.5) for i in a) <= 0.02 * len(a)
+    assert sum(b.values()) == pytest.approx(sum(r.toxic for r in labels.collect()), rel=0.2)
+
+
 def test_decontamination(spark, docs):
     item = " ".join(f"w{i}" for i in range(10, 50))
     edited = " ".join(("changed" if i % 7 == 3 else f"W{i},") for i in range(10, 50))
