@@ -29,8 +29,12 @@ NEAR = minhash.Settings(shingle=5, percent=80)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled documents outside fold 0 of 5; keeps scores below 0.5."""
+    """Learns from the labelled documents outside fold 0 of 5; keeps scores below
+    0.5. Where their labels hold no two classes, or no n-gram tells the classes
+    apart, nothing is known to be toxic and all documents stay."""
     model = toxicity.fit(docs.where(fold("doc_id", 5) != 0), load(spark, sf_dir, "labels"))
+    if not len(model.slots):
+        return docs
     scored = toxicity.score(docs, model, out="toxicity_score")
     return scored.where("toxicity_score < 0.5").select(*docs.columns)
 

@@ -346,6 +346,13 @@ def test_stages(spark, docs):
     assert C.STAGES[0][1](spark, docs, sf).columns == docs.columns
 
 
+def test_toxicity_stage_without_two_classes(spark, docs, tmp_path):
+    import corpus_pipeline as C
+    for name, labels in (("none", empty(labelled(spark))), ("toxic", labelled(spark).where("toxic = 1")), ("clean", labelled(spark).where("toxic = 0"))):
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+        assert C.drop_toxic(spark, docs, str(tmp_path / name)).count() == len(DOCS)
+
+
 def test_folds(spark):
     import brute
     got = spark.range(50).select(F.col("id"), fold("id", 7).alias("f")).collect()
