@@ -12,7 +12,8 @@ Defined results: a null or empty text has no features and gets the score of
 the intercept; repeated rows get equal scores; labels that are null or whose
 document is absent teach nothing; without both classes in the labels every
 score is the share of toxic labels (0.5 without labels). Scores use only the
-text. Repeated label rows of a document count once (toxic if any says so).
+text. Repeated label rows of a document count once (toxic if any says so);
+of repeated rows of a labelled id the greatest text teaches, once.
 
 The fit uses at most ``max_rows`` labelled texts per class (chosen by a hash
 of the id, so that the choice does not depend on the order of rows). In the
@@ -114,9 +115,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, s: Settings = Settings(),
     for c in (0, 1):
         part = one.where(F.col("toxic") == c).orderBy(F.xxhash64("k"), "k").limit(s.max_rows)
         pick = part if pick is None else pick.unionByName(part)
-    # bounded by 2 * max_rows rows of two small columns
+    # bounded by 2 * max_rows rows of two small columns; one text for each id
     return (docs.select(F.col(id_col).alias("k"), F.col(text).alias("text"))
-            .join(F.broadcast(pick), "k").select("toxic", "text")), size
+            .join(F.broadcast(pick), "k").groupBy("k", "toxic").agg(F.max("text").alias("text")).select("toxic", "text")), size
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str = "text",

@@ -176,6 +176,13 @@ def test_toxicity_with_and_without_the_cap(spark):
     assert sum(b.values()) == pytest.approx(sum(r.toxic for r in labels.collect()), rel=0.2)
 
 
+def test_toxicity_learns_once_from_a_repeated_id(spark):
+    docs, labels = toxic_table(spark, 300)
+    again = docs.unionByName(docs.where("doc_id < 20").crossJoin(spark.range(30)).select("doc_id", "text"))
+    texts, size = toxicity.training_rows(again, labels)
+    assert texts.count() == 300 == sum(size.values())
+
+
 def test_decontamination(spark, docs):
     item = " ".join(f"w{i}" for i in range(10, 50))
     edited = " ".join(("changed" if i % 7 == 3 else f"W{i},") for i in range(10, 50))
