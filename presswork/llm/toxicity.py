@@ -6,7 +6,7 @@ UTF-8, A-Z lower-cased, every white-space byte read as a space), hashed into
 log-count ratio is ``r = log((p+1)/(P+2)) - log((q+1)/(Q+2))``; the features of
 a text are ``r`` for each slot that it has, and a logistic regression is
 fitted on them. Slots whose counts do not differ significantly between the
-classes (likelihood ratio statistic below ``min_g``) have no weight.
+classes (likelihood ratio statistic below ``min_g``) have no weight; all others have.
 
 Defined results: a null or empty text has no features and gets the score of
 the intercept; repeated rows get equal scores; labels that are null or whose
@@ -42,7 +42,6 @@ class Settings:
     max_n: int = 6
     bits: int = 22
     max_rows: int = 5000       # labelled texts per class used for the fit
-    max_features: int = 8192   # most significant slots that get a weight
     min_g: float = 15.0        # least likelihood ratio statistic of a slot's counts
     l2: float = 1.0
 
@@ -142,57 +141,88 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str
 
     g = 2 * (cell(p, n_tox + 2.0) + cell(q, n_clean + 2.0))
     chosen = (counts.select("slot", ratio.alias("r"), g.alias("g")).where(F.col("g") >= s.min_g)
-              .orderBy(F.desc("g"), "slot").limit(s.max_features).toPandas().sort_values("slot"))
+              .drop("g").toPandas().sort_values("slot"))  # bounded by the slots of 2 * max_rows texts and by 2**bits
     slots, r = chosen["slot"].to_numpy(np.int64), chosen["r"].to_numpy(float)
-    design = sets.mapInArrow(lambda it: _selected(it, slots), "toxic int, slots array<int>")
-    got = design.toArrow()  # at most 2 * max_rows rows of at most max_features places
+    design = sets.mapInArrow(lambda it: _selected(it, slots), "toxic int, places array<int>")
+    got = design.toArrow()  # at most 2 * max_rows rows
     y = got.column("toxic").to_numpy().astype(float)
-    lists = got.column("slots").combine_chunks()
-    rows = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
-    cols = np.searchsorted(slots, lists.flatten().to_numpy())
+    lists = got.column("places").combine_chunks()
+    del got
+    offs = np.append(0, np.cumsum(lists.value_lengths().to_numpy().astype(np.int64)))
+    cols = lists.flatten().to_numpy()
     # a chosen text stands for all of its class: the classes weigh as among the labels
     weight = np.where(y == 1, labelled[1] / n_tox, labelled[0] / n_clean)
-    w, bias = _logistic(rows, cols, r, y, weight, s.l2)
+    w, bias = _logistic(offs, cols, r, y, weight, s.l2)
     return Model(s, slots, w * r, bias)
 
 
 def _selected(batches, slots: np.ndarray):
+    """Places in ``slots`` of those that each text has."""
     for batch in batches:
         lists = batch.column(1)
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        ok = np.isin(flat, slots)
+        at = np.searchsorted(slots, flat)
+        ok = np.append(slots, -1)[at] == flat
         ends = np.searchsorted(doc[ok], np.arange(len(lists) + 1))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[ok], pa.int32()))],
-            names=["toxic", "slots"])
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at[ok], pa.int32()))],
+            names=["toxic", "places"])
 
 
-def _logistic(rows, cols, r, y, weight, l2, steps: int = 1500):
-    """L2 logistic regression on the scaled features, with a weight a row;
-    accelerated gradient steps with the Lipschitz bound of the design."""
-    n, k, total = len(y), len(r), float(weight.sum())
+def _logistic(offs, cols, r, y, weight, l2, steps: int = 500):
+    """L2 logistic regression on the scaled features, with a weight a row:
+    L-BFGS until the loss falls by less than 1e-7 of itself. ``cols`` of a row:
+    ``cols[offs[i]:offs[i + 1]]``, taken in blocks of whole rows."""
+    n, k = len(y), len(r)
     toxic = float(weight @ y)
-    w, bias = np.zeros(k), float(np.log((toxic + 1) / (total - toxic + 1)))
+    bias = float(np.log((toxic + 1) / (weight.sum() - toxic + 1)))
     if not k:
-        return w, bias
-    x = r[cols]
-    u = np.ones(k + 1)
-    for _ in range(30):  # largest eigenvalue of the design with its constant column
-        u /= np.linalg.norm(u)
-        z = weight * (np.bincount(rows, x * u[cols], n) + u[k])
-        u = np.append(np.bincount(cols, x * z[rows], k), z.sum())
-    step = 1.0 / (0.26 * float(np.linalg.norm(u)) / total + l2 / total)
-    v, vb, t = w.copy(), bias, 1.0
-    for _ in range(steps):
-        z = np.bincount(rows, x * v[cols], n) + vb
+        return np.zeros(k), bias
+    cuts = np.unique(np.append(np.searchsorted(offs, np.arange(0, offs[-1] + 1, 1 << 19)).clip(max=n), [0, n]))
+    blocks = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
+    def forward(u):
+        z, ru = np.empty(n), r * u[:k]
+        for a, b in blocks:
+            upto = np.append(0.0, np.cumsum(ru[cols[offs[a]:offs[b]]]))[offs[a:b + 1] - offs[a]]
+            z[a:b] = np.diff(upto)
+        return z + u[k]
+
+    def gradient(z, u):
         err = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-        nw = v - step * (np.bincount(cols, x * err[rows], k) / total + l2 / total * v)
-        nb = vb - step * float(err.sum()) / total
-        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - bias)
-        w, bias, t = nw, nb, nt
-    return w, bias
+        g = np.zeros(k + 1)
+        for a, b in blocks:
+            g[:k] += np.bincount(cols[offs[a]:offs[b]], np.repeat(err[a:b], np.diff(offs[a:b + 1])), k)
+        g[:k] = g[:k] * r + l2 * u[:k]
+        g[k] = err.sum()
+        return g
+
+    def loss(z, u):
+        return float(weight @ (np.logaddexp(0, z) - y * z)) + l2 / 2 * float(u[:k] @ u[:k])
+
+    u = np.append(np.zeros(k), bias)
+    z = forward(u)
+    g, now, past = gradient(z, u), loss(z, u), []
+    for _ in range(steps):
+        d, used = -g, []
+        for s, c in reversed(past):
+            used.append(float(s @ d) / float(s @ c))
+            d = d - used[-1] * c
+        d = d * (float(past[-1][0] @ past[-1][1]) / float(past[-1][1] @ past[-1][1]) if past else 1 / max(float(np.linalg.norm(g)), 1.0))
+        for (s, c), x in zip(past, reversed(used), strict=True):
+            d = d + (x - float(c @ d) / float(s @ c)) * s
+        zd, slope, t = forward(d), float(g @ d), 1.0
+        while (then := loss(z + t * zd, u + t * d)) > now + 1e-4 * t * slope and t > 1e-12:
+            t /= 2
+        if not now - then > 1e-7 * now:
+            break
+        u, z, now = u + t * d, z + t * zd, then
+        new = gradient(z, u)
+        if float(d @ (new - g)) > 0:
+            past = [*past[-7:], (t * d, new - g)]
+        g = new
+    return u[:k], float(u[k])
 
 
 def score_column(col: pa.Array, m: Model, table: np.ndarray, keep: np.ndarray) -> np.ndarray:

@@ -183,6 +183,18 @@ def test_toxicity_learns_once_from_a_repeated_id(spark):
     assert texts.count() == 300 == sum(size.values())
 
 
+def test_toxicity_keeps_every_significant_slot(spark):
+    """Many toxic words, each in a few texts: all have weight."""
+    rng = np.random.default_rng(6)
+    rare = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 14)) for _ in range(300)]
+    rows = [(i, " ".join(f"plain{x}" for x in rng.integers(0, 90, 9)) + (" " + " ".join(rare[(7 * i + k) % 300] for k in range(11)) if i % 2 else "")) for i in range(1600)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(1600)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.slots) > 8192
+    got = toxicity.score(spark.createDataFrame([(i, " ".join(rare[(i + 29 * k) % 300] for k in range(11))) for i in range(300)], "doc_id long, text string"), model)
+    assert min(r.score for r in got.collect()) > 0.5
+
+
 def test_decontamination(spark, docs):
     item = " ".join(f"w{i}" for i in range(10, 50))
     edited = " ".join(("changed" if i % 7 == 3 else f"W{i},") for i in range(10, 50))
