@@ -9,7 +9,8 @@ return the columns of ``documents``.
 2. near_duplicates: one document of each group of near copies stays.
 3. substring_dedup: words of repeated 50-word passages go from all but the
    first document that holds them; a text that loses none is left as it is.
-4. decontamination: documents that hold a passage of a benchmark item go.
+4. decontamination: documents that hold a passage of a benchmark item go: 13
+   of its words in a row, or an alignment of half a full match.
 5. packing: the documents as pieces of sequences of 2048 tokens.
 """
 

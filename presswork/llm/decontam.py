@@ -8,7 +8,8 @@ below that bound that any document holds, all n-grams that start in it are
 seeds. A document passage that holds a seed of an item is joined to it
 and a window around the seed's diagonal is aligned with the whole item by
 Smith-Waterman (match 2, mismatch -1, gap -1 a word). The score is the
-alignment's part of a full match; pairs at ``threshold`` or more are returned.
+alignment's part of a full match; pairs at ``threshold`` or more are returned,
+and, whatever their score, pairs that share ``passage`` words in a row.
 
 The items of one pass are broadcast; a pass takes at most ``pass_words`` words
 of items, and a larger benchmark goes in several passes over the documents.
@@ -40,6 +41,7 @@ class Settings:
     common: float = 0.01       # part of the documents that a seed may be in
     least_common: int = 100    # documents that a seed may be in, however few there are
     threshold: float = 0.5
+    passage: int = 13          # words in a row that are reported below the threshold too
     slack: float = 0.25        # window beyond the item's length, as a part of it, on each side
     pass_words: int = 2_000_000
 
@@ -149,7 +151,7 @@ def _common(words: np.ndarray, code: np.ndarray, local: np.ndarray, first: np.nd
 
 def _align(items: Items, w: B.Words, pos: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
     """Text, item, score, first and end word of the best alignment of each pair
-    that reaches the threshold."""
+    that reaches the threshold or holds a passage."""
     s = items.s
     size = items.key_size[key]
     entry = B.ranges(items.key_start[key], size)
@@ -178,7 +180,9 @@ def _align(items: Items, w: B.Words, pos: np.ndarray, key: np.ndarray) -> Iterat
     for mine in (group[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)):
         i = int(item[mine[0]])
         words = items.hash[items.first[i]:items.first[i + 1]]
-        need = s.threshold * 2 * len(words)
+        full = s.threshold * 2 * len(words)
+        need = min(full, 2 * s.passage)
+        runs = B.window_hashes(words, s.passage)
         mine = mine[2 * _common(items.word[items.first[i]:items.first[i + 1]], code, local, first[mine], end[mine]) >= need]
         mine = mine[np.argsort(end[mine] - first[mine], kind="stable")]
         while len(mine):
@@ -199,6 +203,8 @@ def _align(items: Items, w: B.Words, pos: np.ndarray, key: np.ndarray) -> Iterat
             _, from_end = smith_waterman(words[::-1], back)
             for g, e, b in zip(good.tolist(), stop_col[good].tolist(), from_end.tolist(), strict=True):
                 p = part[g]
+                if score[g] < full and not np.isin(B.window_hashes(w.hash[first[p]:end[p]], s.passage), runs).any():
+                    continue
                 found = (float(score[g]) / (2 * len(words)), int(first[p] + cols - b), int(first[p] + e))
                 k = (int(doc[p]), i)
                 if k not in best or found[0] > best[k][0]:
@@ -242,7 +248,7 @@ def _match(batches, items: Items, kind: pa.DataType):
 def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), text: str = "text", id_col: str = "doc_id",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(doc_id, item_id, score, first_word, end_word)``: the best alignment of
-    each document and item that reaches the threshold."""
+    each document and item that reaches the threshold or holds a passage."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))

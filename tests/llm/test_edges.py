@@ -244,6 +244,15 @@ def test_decontamination_of_edited_copies(spark):
     assert len(set(got) & set(want)) > 0.97 * len(want)
 
 
+def test_decontamination_of_partial_passages(spark):
+    item = [f"p{i}" for i in range(59)]
+    rows = [(1, ["a"] * 20 + item[5:34] + ["b"] * 20), (2, ["a"] * 3 + item[40:53] + ["b"]), (3, ["a", *item[40:52], "b"]),
+            (4, [x for i in range(20) for x in (item[i], *["c"] * (i % 7 == 6))])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert {r.doc_id: (r.first_word, r.end_word) for r in got} == {1: (20, 49), 2: (3, 16)} and all(r.score < 0.5 for r in got)
+
+
 def test_alignment_against_plain_version():
     rng = np.random.default_rng(2)
     for _ in range(30):
