@@ -1,4 +1,4 @@
-"""Registered queries of this subpackage: ``op1`` to ``op10`` and their SQL."""
+"""Registered queries of this subpackage: ``op1`` to ``op13`` and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import decontam, embdup, minhash, packing, quality, substring, suffixlm, toxicity, urlrules, warc
+from presswork.llm import decontam, embdup, licenses, minhash, packing, quality, spelling, substring, suffixlm, toxicity, urlrules, warc, whitening
 from presswork.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffixlm.score_texts(load(spark, sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 7) != 2)
     return got.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_lanczos_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = whitening.whiten(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # null where a sum of squares is beyond a long
+    return got.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query("op12_reduced_alphabet_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents").select("doc_id", "text"), spelling.Settings(drop_of=31))
+
+
+@query("op13_diagonal_licenses")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
