@@ -24,11 +24,18 @@ rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from presswork.llm.bytesops import LOWER as LOWER_BYTES
+from presswork.llm.bytesops import PLAIN_SEPARATOR, chunks, text_buffers, window_hashes, window_starts, word_spans, words
+from presswork.llm.common import cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,35 +86,75 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORDS), 0)
 
 
-def window_at(words: Column, at: Column, k: int) -> list[Column]:
-    return [F.get(words, at + i) for i in range(k)]
-
-
 def templates(spark: SparkSession, s: Settings) -> DataFrame:
     """``(template, label, phrase, windows, t, hash, gram)``, a row for every window."""
-    given = [(i, label, text, base) for i, (label, text, base) in enumerate(
-        [(*x, True) for x in s.phrases] + [(*x, False) for x in s.notices])]
-    table = spark.createDataFrame(given, "template int, label string, text string, phrase boolean").withColumn("words", words_of(F.col("text")))
-    short = table.where(F.size("words") < s.k).count()
-    if short or not given:
+    given = [(*x, True) for x in s.phrases] + [(*x, False) for x in s.notices]
+    data, offs = text_buffers(pa.array([text for _, text, _ in given], pa.string()))
+    w = words(data, offs, PLAIN_SEPARATOR, lower=True)
+    if not given or w.counts.min() < s.k:
         raise ValueError(f"templates must have {s.k} words at least")
-    starts = F.sequence(F.lit(0), F.size("words") - s.k)
-    out = table.select("template", "label", "phrase", (F.size("words") - s.k + 1).alias("windows"), F.explode(starts).alias("t"), "words")
-    out = out.select("template", "label", "phrase", "windows", "t", F.xxhash64(*window_at(F.col("words"), F.col("t"), s.k)).alias("hash"),
-                     F.slice("words", F.col("t") + 1, s.k).alias("gram"))
-    if out.count() > s.max_windows:
+    if int(w.counts.sum()) > s.max_windows:
         raise ValueError(f"more than {s.max_windows} template windows")
-    return out
+    start, of = window_starts(w.first, s.k)
+    h = window_hashes(w.hash, s.k).view(np.int64)
+    body = LOWER_BYTES[data]
+    rows = []
+    for at, i in zip(start.tolist(), of.tolist(), strict=True):
+        gram = [body[w.start[j]:w.end[j]].tobytes().decode() for j in range(at, at + s.k)]
+        rows.append((i, given[i][0], given[i][2], int(w.counts[i]) - s.k + 1, at - int(w.first[i]), int(h[at]), gram))
+    return spark.createDataFrame(rows, "template int, label string, phrase boolean, windows int, t int, hash long, gram array<string>")
+
+
+def windows(texts: DataFrame, k: int) -> DataFrame:
+    """``(doc, digest, text binary, hashes, starts, ends)``: the windows of each
+    text that has any, with the bytes that they span."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = text_buffers(b.column("text"))
+            for first, end, body, places in chunks(data, offs):
+                w = words(body, places, PLAIN_SEPARATOR, lower=True)
+                at, _ = window_starts(w.first, k)
+                n = np.maximum(w.counts - k + 1, 0)
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                base = np.repeat(places[:-1], n)
+                part = b.slice(first, end - first)
+
+                def lists(x: np.ndarray, kind: pa.DataType, ends=ends) -> pa.Array:
+                    return pa.ListArray.from_arrays(pa.array(ends), pa.array(x, kind))
+
+                out = pa.RecordBatch.from_arrays(
+                    [part.column("doc"), part.column("digest"), part.column("text").cast(pa.binary()), lists(window_hashes(w.hash, k)[at].view(np.int64), pa.int64()),
+                     lists(w.start[at] - base, pa.int32()), lists(w.end[at + k - 1] - base, pa.int32())],
+                    names=["doc", "digest", "text", "hashes", "starts", "ends"])
+                yield out.filter(pa.array(n > 0))
+
+    kind = dict(texts.dtypes)["doc"]
+    return texts.mapInArrow(run, f"doc {kind}, digest long, text binary, hashes array<long>, starts array<int>, ends array<int>")
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """``(doc, digest, n_words)`` of every text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = text_buffers(b.column("text"))
+            n = [np.diff(np.searchsorted(word_spans(body, places, PLAIN_SEPARATOR)[0], places)) for _, _, body, places in chunks(data, offs)]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("digest"), pa.array(np.concatenate([np.zeros(0, np.int64), *n]), pa.int64())],
+                                             names=["doc", "digest", "n_words"])
+
+    kind = dict(texts.dtypes)["doc"]
+    return texts.mapInArrow(run, f"doc {kind}, digest long, n_words long")
 
 
 def hits(texts: DataFrame, table: DataFrame, k: int) -> DataFrame:
     """``(doc, digest, template, diagonal, t)``: each window of a text that is one of a template."""
-    n = F.size("words")
-    hashes = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*window_at(F.col("words"), i, k)))
-    # the generator and the join run in one stage, so the words of a text are
-    # only read where a window's hash meets a template's
-    each = texts.where(n >= k).select("doc", "digest", "words", F.posexplode(hashes).alias("d", "hash"))
-    met = each.join(F.broadcast(table), "hash").where(F.slice("words", F.col("d") + 1, k) == F.col("gram"))
+    # the generator and the join run in one stage, so a text is only read where
+    # a window's hash meets a template's
+    each = windows(texts, k).select("doc", "digest", "text", "starts", "ends", F.posexplode("hashes").alias("d", "hash"))
+    start = F.get("starts", F.col("d"))
+    span = F.substr("text", start + 1, F.get("ends", F.col("d")) - start).cast("string")
+    # word by word, not as one equality: that would become a join key, made of every window
+    equal = F.forall(F.zip_with(words_of(span), F.col("gram"), lambda a, b: a.eqNullSafe(b)), lambda x: x)
+    met = each.join(F.broadcast(table), "hash").where(equal)
     return met.select("doc", "digest", "template", "label", "phrase", "windows", (F.col("d") - F.col("t")).alias("diagonal"), "t")
 
 
@@ -135,8 +182,9 @@ def scan(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text
     ``(label, first, share)``."""
     spark = docs.sparkSession
     # a row's texts are told apart by their digest where ids repeat
-    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("digest"), words_of(F.col(text)).alias("words"))
-    votes = diagonals(hits(texts, templates(spark, s), s.k))
+    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("digest"), F.coalesce(text, F.lit("")).alias("text"))
+    # one row a diagonal with votes; written once for the two readers below
+    votes = cut_lineage(diagonals(hits(texts, templates(spark, s), s.k)))
     phrases = votes.where("phrase").groupBy("doc", "digest").agg(
         F.sum(F.when(F.col("votes") == F.col("windows"), 1).otherwise(0)).alias("n_base"),
         F.min(F.when(F.col("votes") == F.col("windows"), F.col("diagonal"))).alias("first_word"),
@@ -149,7 +197,7 @@ def scan(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text
         F.collect_set(F.when(fine, F.col("label"))).alias("more"), F.max("share").alias("more_share"),
         F.array_sort(F.collect_set(F.when(fine, F.struct("label", "first", "share")))).alias("spans"))
     none = F.array().cast("array<string>")
-    each = texts.select("doc", "digest", F.size("words").cast("long").alias("n_words"))
+    each = counted(texts)
     a, b = phrases.alias("a"), notices.alias("b")
 
     def same(x: str, y: str) -> Column:
