@@ -100,9 +100,9 @@ def templates(spark: SparkSession, s: Settings) -> DataFrame:
     body = LOWER_BYTES[data]
     rows = []
     for at, i in zip(start.tolist(), of.tolist(), strict=True):
-        gram = [body[w.start[j]:w.end[j]].tobytes().decode() for j in range(at, at + s.k)]
+        gram = " ".join(body[w.start[j]:w.end[j]].tobytes().decode() for j in range(at, at + s.k))
         rows.append((i, given[i][0], given[i][2], int(w.counts[i]) - s.k + 1, at - int(w.first[i]), int(h[at]), gram))
-    return spark.createDataFrame(rows, "template int, label string, phrase boolean, windows int, t int, hash long, gram array<string>")
+    return spark.createDataFrame(rows, "template int, label string, phrase boolean, windows int, t int, hash long, gram string")
 
 
 def windows(texts: DataFrame, k: int) -> DataFrame:
@@ -152,9 +152,9 @@ def hits(texts: DataFrame, table: DataFrame, k: int) -> DataFrame:
     each = windows(texts, k).select("doc", "digest", "text", "starts", "ends", F.posexplode("hashes").alias("d", "hash"))
     start = F.get("starts", F.col("d"))
     span = F.substr("text", start + 1, F.get("ends", F.col("d")) - start).cast("string")
-    # word by word, not as one equality: that would become a join key, made of every window
-    equal = F.forall(F.zip_with(words_of(span), F.col("gram"), lambda a, b: a.eqNullSafe(b)), lambda x: x)
-    met = each.join(F.broadcast(table), "hash").where(equal)
+    found = F.array_join(words_of(span), " ")
+    # equal, said by two bounds: an equality would become a join key, made of every window
+    met = each.join(F.broadcast(table), "hash").where((found >= F.col("gram")) & (found <= F.col("gram")))
     return met.select("doc", "digest", "template", "label", "phrase", "windows", (F.col("d") - F.col("t")).alias("diagonal"), "t")
 
 
