@@ -52,8 +52,9 @@ def text_rank(edges: DataFrame, nodes: DataFrame, group="id", d: float = 0.85,
 
     ``M`` = the graph with zeroed diagonal, columns divided by their sums.
     ``nodes`` = ``(group..., node)``; nodes without neighbours score ``1-d``.
-    Error after ``k`` rounds is at most ``C * d**k``.
-    Output ``(group..., node, rank)``.
+    ``iters`` is a fixed count: the error after ``k`` rounds is at most
+    ``C * d**k``. For ranks that are solved see ``text_rank_grouped`` (word
+    graphs) and ``page_rank``. Output ``(group..., node, rank)``.
     """
     g = _g(group)
     spark = edges.sparkSession
@@ -119,6 +120,7 @@ def div_rank(edges: DataFrame, nodes: DataFrame, group="group", alpha: float = 0
     """U12 / U13 with a fixed round count, all groups together.
 
     ``x'_m = sum_n d * (P_nm x_m / D_n) x_n + (1-d) p_m``, ``D_n = sum_m P_nm x_m``.
+    The ranks need not have settled then; ``div_rank_converged`` has the stop rule.
     ``start`` / ``personalization``: optional ``(group..., node, v)`` frames,
     normalised per group (uniform when absent). Every node carries a self
     loop, so no node is dangling. Output ``(group..., node, rank)``.
@@ -157,56 +159,39 @@ def div_rank(edges: DataFrame, nodes: DataFrame, group="group", alpha: float = 0
     return x.withColumnRenamed("x", "rank")
 
 
-def _divrank_numpy(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray,
-                   alpha: float, d: float, tol: float, max_iter: int):
-    """Dense power iteration of one small group; returns (x, rounds, converged)."""
-    W = np.zeros((n, n))
-    np.add.at(W, (src, dst), w)
-    np.fill_diagonal(W, 0.0)
-    rs = W.sum(axis=1, keepdims=True)
-    P = np.divide(W, rs, out=np.zeros_like(W), where=rs > 0) * alpha
-    np.fill_diagonal(P, 1.0 - alpha)
-    x = np.full(n, 1.0 / n)
-    p = np.full(n, 1.0 / n)
-    for it in range(1, max_iter + 1):
-        D = P @ x
-        xn = d * ((P * x[None, :]) / D[:, None] * x[:, None]).sum(axis=0) + (1 - d) * p
-        err = np.abs(xn - x).sum()
-        x = xn
-        if err < n * tol:
-            return x, it, True
-    return x, max_iter, False
-
-
-def div_rank_converged(edges: DataFrame, nodes: DataFrame, group="group",
-                       alpha: float = 0.25, d: float = 0.85, tol: float = 1e-6,
-                       max_iter: int = 800) -> DataFrame:
-    """U12 with the full stop rule (L1 change below ``N * tol``), per group.
-
-    Groups are summary graphs of at most 20 articles (U2), so one group fits
-    a task; Spark shuffles edges and nodes by group (cogroup) and each group
-    runs a dense numpy loop. Groups that do not converge within ``max_iter``
-    are reported in ``converged = false`` instead of failing the job.
-    Output ``(group..., node, rank, rounds, converged)``.
+def _per_graph(edges: DataFrame, nodes: DataFrame, g: list[str], solve, vectors: dict[str, DataFrame | None] | None = None) -> DataFrame:
+    """One task a graph: ``solve(n, src, dst, w, given)`` on its edge list with
+    nodes numbered 0..n-1 (by value) returns ranks, rounds and whether they
+    settled. ``vectors`` are optional ``(group..., node, v)`` frames; ``given``
+    has each as an array that sums to 1 (uniform where absent or all zero).
+    Memory is linear in a graph's edges. Output ``(group..., node, rank,
+    rounds, converged)``; edges of nodes that are not given are left out.
     """
-    g = _g(group)
     # fresh attribute ids on both sides: edges and nodes often share lineage
     e = edges.select(*[F.col(c).alias(c) for c in (*g, "src", "dst", "w")])
-    nd = nodes.select(*[F.col(c).alias(c) for c in (*g, "node")])
-    schema = ", ".join([f"{c} {dict(nodes.dtypes)[c]}" for c in g]
-                       + [f"node {dict(nodes.dtypes)['node']}", "rank double",
-                          "rounds int", "converged boolean"])
+    nd = nodes.select(*[F.col(c).alias(c) for c in (*g, "node")]).distinct()
+    names = list(vectors or {})
+    for name in names:
+        v = vectors[name]
+        nd = (nd.withColumn(name, F.lit(1.0)) if v is None else
+              nd.join(v.select(*g, "node", F.col("v").cast("double").alias(name)), [*g, "node"], "left").fillna(0.0, [name]))
+    types = dict(nodes.dtypes)
+    schema = ", ".join([f"{c} {types[c]}" for c in g] + [f"node {types['node']}", "rank double", "rounds int", "converged boolean"])
+    columns = [*g, "node", "rank", "rounds", "converged"]
 
     def run(key, ed: pd.DataFrame, nv: pd.DataFrame) -> pd.DataFrame:
         if nv.empty:
-            return pd.DataFrame(columns=[*g, "node", "rank", "rounds", "converged"])
-        names = np.sort(nv["node"].unique())
-        idx = {v: i for i, v in enumerate(names)}
-        s = ed["src"].map(idx).to_numpy(dtype=np.int64) if len(ed) else np.array([], dtype=np.int64)
-        t = ed["dst"].map(idx).to_numpy(dtype=np.int64) if len(ed) else np.array([], dtype=np.int64)
-        x, it, ok = _divrank_numpy(len(names), s, t, ed["w"].to_numpy(dtype=float) if len(ed) else np.array([]),
-                                   alpha, d, tol, max_iter)
-        out = pd.DataFrame({"node": names, "rank": x, "rounds": it, "converged": ok})
+            return pd.DataFrame(columns=columns)
+        nv = nv.sort_values("node", kind="stable")
+        at = pd.Series(np.arange(len(nv)), index=nv["node"].to_numpy())
+        src, dst = at.reindex(ed["src"]).to_numpy(float), at.reindex(ed["dst"]).to_numpy(float)
+        fine = ~(np.isnan(src) | np.isnan(dst)) & (src != dst) & (ed["w"].to_numpy(float) != 0)
+        given = {}
+        for name in names:
+            v = nv[name].to_numpy(float)
+            given[name] = v / v.sum() if v.sum() > 0 else np.full(len(v), 1.0 / len(v))
+        x, rounds, ok = solve(len(nv), src[fine].astype(np.int64), dst[fine].astype(np.int64), ed["w"].to_numpy(float)[fine], given)
+        out = pd.DataFrame({"node": nv["node"].to_numpy(), "rank": x, "rounds": rounds, "converged": ok})
         for i, c in enumerate(g):
             out.insert(i, c, key[i])
         return out
@@ -214,6 +199,68 @@ def div_rank_converged(edges: DataFrame, nodes: DataFrame, group="group",
     return e.groupBy(*g).cogroup(nd.groupBy(*g)).applyInPandas(run, schema)
 
 
+def div_rank_converged(edges: DataFrame, nodes: DataFrame, group="group",
+                       alpha: float = 0.25, d: float = 0.85, tol: float = 1e-6,
+                       max_iter: int = 800, start: DataFrame | None = None,
+                       personalization: DataFrame | None = None, dangling: DataFrame | None = None) -> DataFrame:
+    """U12 / U13 with the full stop rule (L1 change below ``N * tol``), per group.
+
+    Weights of a row are divided by their sum and scaled to ``alpha``, with a
+    self-loop of ``1 - alpha``; a round is two sums over the edge list
+    (``D`` by source, the inflow by target), so no matrix is formed. ``start``,
+    ``personalization`` and ``dangling`` are optional ``(group..., node, v)``
+    frames, scaled to sum 1 per group (uniform when absent). The rank of nodes
+    without any way out (only with ``alpha`` = 1) goes to ``dangling``. Groups
+    that do not settle within ``max_iter`` rounds are reported in ``converged
+    = false`` instead of failing the job.
+    Output ``(group..., node, rank, rounds, converged)``.
+    """
+    def solve(n, src, dst, w, given):
+        total = np.bincount(src, w, n)
+        p = alpha * w / total[src]
+        if alpha < 1:
+            loop = np.arange(n)
+            src, dst, p = np.concatenate([src, loop]), np.concatenate([dst, loop]), np.concatenate([p, np.full(n, 1.0 - alpha)])
+        out = np.bincount(src, p, n) == 0
+        x = given["start"]
+        for k in range(1, max_iter + 1):
+            px = p * x[dst]
+            D = np.bincount(src, px, n)
+            share = np.divide(x, D, out=np.zeros(n), where=D > 0)
+            new = d * np.bincount(dst, px * share[src], n) + (1 - d) * given["personal"]
+            if out.any():
+                new = new + d * x[out].sum() * given["dangling"]
+            err = np.abs(new - x).sum()
+            x = new
+            if err < n * tol:
+                return x, k, True
+        return x, max_iter, False
+
+    return _per_graph(edges, nodes, _g(group), solve, {"start": start, "personal": personalization, "dangling": dangling})
+
+
+def page_rank(edges: DataFrame, nodes: DataFrame, group="group", d: float = 0.85,
+              tol: float = 1e-12) -> DataFrame:
+    """The PageRank that U9 stands in for, per group and to convergence:
+    ``x = (1-d) + d * M x`` as K10, with columns divided by their sums; nodes
+    without neighbours score ``1-d``. The change shrinks by ``d`` a round; a
+    group that still moves after ten times the rounds this takes has
+    ``converged = false``. Output as ``div_rank_converged``."""
+    def solve(n, src, dst, w, given):
+        m = w / np.bincount(src, w, n)[src]
+        x = np.ones(n)
+        limit = 10 * int(np.ceil(np.log(tol / max(n, 2)) / np.log(d)))
+        for k in range(1, limit + 1):
+            new = (1 - d) + d * np.bincount(dst, m * x[src], n)
+            moved = np.abs(new - x).max()
+            x = new
+            if moved < tol * max(1.0, np.abs(x).max()):
+                return x, k, True
+        return x, limit, False
+
+    return _per_graph(edges, nodes, _g(group), solve)
+
+
 def text_rank_grouped(xn: DataFrame, group: str = "id", sent: str = "sent",
                       d: float = 0.85, x0: float = 1.0, tol: float = 1e-12,
                       top: int | None = 10) -> DataFrame:
