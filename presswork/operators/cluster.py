@@ -1,8 +1,8 @@
 """Related-article clustering: P3-P18.
 
 Groups are ``(date, mix_id)``: one combo of one day. Every step is a join,
-window or aggregation keyed by the group; the pair joins (P10) are bounded by
-the per-day quota (30 articles per keyword and outlet).
+window or aggregation keyed by the group. Texts are read once: groups hold ids,
+and meet the terms of an article by its id.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.functions.stopwords import FUNCTION_WORDS
 from presswork.functions.text import word_tokens
 from presswork.operators import vectors as V
+from presswork.operators.components import components
 from presswork.session import cut_lineage
 
 G = ["date", "mix_id"]
@@ -30,13 +30,15 @@ def min_tokens(df: DataFrame, n: int = 40, tokens: str = "tokens") -> DataFrame:
     return df.filter(F.size(tokens) >= n)
 
 
-def tfidf_weights(docs: DataFrame, group: Sequence[str], doc: str = "n",
-                  stop: Sequence[str] = FUNCTION_WORDS) -> DataFrame:
-    """P6-P9 for every group: ``(group..., doc, term, w)``."""
-    bound = V.vocab_bound(docs, group)
-    terms = V.term_stream(docs, [*group, doc], "tokens", stop, 3)
-    vocab = V.vocabulary(terms, group, doc, bound, 3)
-    return V.tfidf(terms, vocab, docs, group, doc)
+def tfidf_weights(docs: DataFrame, counts: DataFrame, group: Sequence[str], doc: str = "n",
+                  article: Sequence[str] = ("date", "id")) -> DataFrame:
+    """P6, P8, P9 for every group: ``(group..., doc, term, w)``. ``docs``:
+    ``(group..., doc, article..., ntok)``; ``counts``: P7's ``(article...,
+    term, tf)``, made once for all groups that an article is in."""
+    g = list(group)
+    keys = list(dict.fromkeys([*g, doc, *article]))
+    tf = docs.select(*keys).join(counts, list(article)).select(*g, doc, "term", "tf")
+    return V.tfidf(tf, V.vocabulary(tf, g, V.vocab_bound(docs, g), 3), docs, g, doc)
 
 
 def drop_near_duplicates(docs: DataFrame, weights: DataFrame, group: Sequence[str] = tuple(G),
@@ -44,57 +46,55 @@ def drop_near_duplicates(docs: DataFrame, weights: DataFrame, group: Sequence[st
     """Per row ``i`` the set ``S_i = {j : sim(i, j) > tau}`` (with ``i``);
     every member of ``S_i`` above its minimum is dropped (two-hop, stronger
     than a greedy pass)."""
+    pairs = V.cosine_pairs(weights, group, doc, tau, strict=True)
+    gone = two_hop_drops(pairs, group).withColumnRenamed("node", doc)
+    return docs.join(gone, [*group, doc], "left_anti")
+
+
+def two_hop_drops(pairs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """P11's rule on similar pairs ``(group..., a, b)``, ``a < b``: the
+    ``(group..., node)`` that go."""
     g = list(group)
-    pairs = V.mirror_pairs(V.cosine_pairs_grouped(weights, g, doc, tau, strict=True))
-    diag = docs.select(*g, F.col(doc).alias("a"), F.col(doc).alias("b"))
-    s = pairs.select(*g, "a", "b").unionByName(diag)
-    m = s.groupBy(*g, "a").agg(F.min("b").alias("m"))
-    drop = (s.join(m, [*g, "a"]).filter(F.col("b") > F.col("m"))
-            .select(*g, F.col("b").alias(doc)).distinct())
-    return docs.join(drop, [*g, doc], "left_anti")
+    near = V.mirror_pairs(pairs.select(*g, "a", "b"))
+    own = near.select(*g, "a", F.col("a").alias("b")).distinct()
+    s = near.unionByName(own)
+    first = s.groupBy(*g, "a").agg(F.min("b").alias("m"))
+    return s.join(first, [*g, "a"]).filter("b > m").select(*g, F.col("b").alias("node")).distinct()
 
 
 def dbscan(docs: DataFrame, weights: DataFrame, group: Sequence[str] = tuple(G), doc: str = "n",
            eps: float = 0.5, min_pts: int = 4) -> DataFrame:
     """Density clustering on cosine distance (neighbour: ``1 - sim <= eps``).
+    Output ``(group..., doc, label)``."""
+    pairs = V.cosine_pairs(weights, group, doc, round(1.0 - eps, 6))
+    return density_labels(docs, pairs, group, doc, min_pts)
 
-    Core = at least ``min_pts`` neighbours including itself. Core points are
-    joined into components by min-label propagation (rounds until no label
-    changes); clusters are numbered by their smallest core index; a border
-    point takes the smallest label among its core neighbours; others -1.
-    Output ``(group..., doc, label)``.
+
+def density_labels(docs: DataFrame, pairs: DataFrame, group: Sequence[str] = tuple(G), doc: str = "n",
+                   min_pts: int = 4) -> DataFrame:
+    """P12's rule on neighbours ``(group..., a, b)``, ``a < b``.
+
+    Core = at least ``min_pts`` neighbours including itself. Core points that
+    are neighbours are in one cluster (``components``); clusters are numbered
+    by their smallest core point; a border point takes the smallest label among
+    its core neighbours; others -1.
     """
     g = list(group)
-    sim_min = 1.0 - eps
-    pairs = (V.mirror_pairs(V.cosine_pairs_grouped(weights, g, doc, round(sim_min, 6)))
-             .select(*g, "a", "b").cache())
-    deg = pairs.groupBy(*g, "a").agg(F.count(F.lit(1)).alias("deg"))
-    pts = (docs.select(*g, F.col(doc).alias("a")).join(deg, [*g, "a"], "left")
-           .withColumn("core", (F.coalesce("deg", F.lit(0)) + 1) >= min_pts).drop("deg").cache())
-    core = pts.filter("core").select(*g, "a")
-    cedges = (pairs.join(core, [*g, "a"], "left_semi")
-              .join(core.withColumnRenamed("a", "b"), [*g, "b"], "left_semi").cache())
-    lab = core.withColumn("c", F.col("a"))
-    k = 0
-    while True:
-        nb = (cedges.join(lab.select(*g, F.col("a").alias("b"), F.col("c").alias("cb")), [*g, "b"])
-              .groupBy(*g, "a").agg(F.min("cb").alias("cn")))
-        new = (lab.join(nb, [*g, "a"], "left")
-               .select(*g, "a", F.least("c", F.coalesce("cn", F.col("c"))).alias("c")))
-        new = cut_lineage(new) if (k + 1) % 10 == 0 else new.cache()
-        changed = new.join(lab.withColumnRenamed("c", "old"), [*g, "a"]).filter(F.col("c") != F.col("old")).count()
-        lab, k = new, k + 1
-        if changed == 0:
-            break
-    lab = lab.withColumn("label", (F.dense_rank().over(Window.partitionBy(*g).orderBy("c")) - 1).cast("int"))
-    border = (pairs.join(lab.select(*g, F.col("a").alias("b"), "label"), [*g, "b"])
-              .groupBy(*g, "a").agg(F.min("label").alias("blabel")))
-    out = (pts.join(lab.select(*g, "a", "label"), [*g, "a"], "left")
-           .join(border, [*g, "a"], "left")
-           .select(*g, F.col("a").alias(doc),
-                   F.when(F.col("core"), F.col("label"))
-                   .otherwise(F.coalesce("blabel", F.lit(-1))).cast("int").alias("label")))
-    return out
+    near = cut_lineage(V.mirror_pairs(pairs.select(*g, "a", "b")))
+    # a point without neighbours is core only where it is enough by itself
+    many = near.groupBy(*g, "a").agg(F.count(F.lit(1)).alias("deg"))
+    core = cut_lineage(docs.select(*g, F.col(doc).alias("a")).join(many, [*g, "a"], "left")
+                       .filter(F.coalesce("deg", F.lit(0)) + 1 >= min_pts).select(*g, "a"))
+    links = (near.filter("a < b").join(core, [*g, "a"], "left_semi")
+             .join(core.withColumnRenamed("a", "b"), [*g, "b"], "left_semi"))
+    met = components(links, g).withColumnRenamed("node", "a")
+    label = (F.dense_rank().over(Window.partitionBy(*g).orderBy("c")) - 1).cast("int")
+    labels = cut_lineage(core.join(met, [*g, "a"], "left").select(*g, "a", F.coalesce("component", "a").alias("c"))
+                         .select(*g, "a", label.alias("label")))
+    border = (near.join(labels.select(*g, F.col("a").alias("b"), "label"), [*g, "b"])
+              .groupBy(*g, "a").agg(F.min("label").alias("beside")))
+    return (docs.select(*g, F.col(doc).alias("a")).join(labels, [*g, "a"], "left").join(border, [*g, "a"], "left")
+            .select(*g, F.col("a").alias(doc), F.coalesce("label", "beside", F.lit(-1)).cast("int").alias("label")))
 
 
 def cluster_report(labels: DataFrame, group: Sequence[str] = tuple(G)) -> DataFrame:
@@ -123,13 +123,13 @@ def candidate_clusters(labels: DataFrame, group: Sequence[str] = tuple(G), min_s
     return out
 
 
-def cluster_terms(docs: DataFrame, labels: DataFrame, cands: DataFrame, group: Sequence[str] = tuple(G),
+def cluster_terms(docs: DataFrame, counts: DataFrame, labels: DataFrame, cands: DataFrame, group: Sequence[str] = tuple(G),
                   doc: str = "n", n: int = 20) -> DataFrame:
     """Top ``n`` terms of each candidate cluster by mean TF-IDF, refitted
     inside the cluster. Output ``(group..., label, term, score)``."""
     g = list(group)
-    cd = docs.join(labels, [*g, doc]).join(cands.select(*g, "label"), [*g, "label"], "left_semi")
-    w = tfidf_weights(cd, [*g, "label"], doc)
+    cd = cut_lineage(docs.join(labels, [*g, doc]).join(cands.select(*g, "label"), [*g, "label"], "left_semi"))
+    w = tfidf_weights(cd, counts, [*g, "label"], doc)
     nd = cd.groupBy(*g, "label").agg(F.count(F.lit(1)).alias("nd"))
     sc = (w.groupBy(*g, "label", "term").agg(F.sum("w").alias("s")).join(nd, [*g, "label"])
           .select(*g, "label", "term", F.round(F.col("s") / F.col("nd"), 6).alias("score")))

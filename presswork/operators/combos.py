@@ -40,6 +40,28 @@ def keyword_articles(articles: DataFrame, keywords: DataFrame, n: int = 30) -> D
     return quota(hits, order=[F.col("id")], n=n, partition=("date", "keyword", "agency"))
 
 
+def retrieved(articles: DataFrame, keywords: DataFrame, n: int = 30) -> DataFrame:
+    """The rows of ``keyword_articles`` without the texts, with all keywords of
+    each text: ``(date, keyword, kpos, agency, id, words)``; ``words`` are
+    ``(kpos, keyword)`` in order.
+
+    A body is read once, against the whole list (one value: a list of a few
+    dozen keywords), and stays behind: what goes through the windows of E15 and
+    E16 is its id and a digest, once a keyword that it contains."""
+    listed = keywords.agg(F.array_sort(F.collect_list(F.struct("kpos", "keyword"))).alias("l")).scalar()
+    content = F.col("content")
+    found = articles.filter(content.isNotNull()).select(
+        "date", "agency", "id", F.col("thumbnail").isNull().alias("bare"), F.sha2(content.cast("binary"), 256).alias("digest"),
+        "content", listed.alias("listed"))
+    found = found.withColumn("words", F.filter("listed", lambda k: content.contains(k["keyword"]))).drop("content", "listed")
+    hits = found.select("date", "agency", "id", "bare", "digest", "words", F.inline("words"))
+    by = Window.partitionBy("date", "keyword", "agency").orderBy("id")
+    before = F.lag("digest").over(by)
+    kept = hits.withColumn("_same", F.col("bare") & F.coalesce(before == F.col("digest"), F.lit(False))).filter("not _same")
+    kept = kept.withColumn("_rn", F.row_number().over(by)).filter(F.col("_rn") <= n)
+    return kept.select("date", "keyword", "kpos", "agency", "id", "words")
+
+
 def live_keywords(articles: DataFrame) -> DataFrame:
     """M2: per date, the keywords that retrieved at least one article."""
     return articles.select("date", "keyword", "kpos").distinct()
@@ -59,7 +81,11 @@ def prefix_itemsets(arts: DataFrame, keywords: DataFrame) -> DataFrame:
                .groupBy("date", "keyword", "kpos", "id")
                .agg(F.array_sort(F.collect_list(F.struct("wpos", "w"))).alias("ws")))
     words = F.transform("ws", lambda s: s["w"])
-    rows = matched.select("date", "kpos", "id", words.alias("words"))
+    return prefixes_of(matched.select("date", "kpos", "id", words.alias("words")))
+
+
+def prefixes_of(rows: DataFrame) -> DataFrame:
+    """M4 on rows ``(date, kpos, id, words)`` whose words are in order."""
     two = rows.filter(F.size("words") >= 2).select(
         "date", F.slice("words", 1, 2).alias("combo"), F.lit(2).alias("size"), "kpos", "id")
     three = rows.filter(F.size("words") >= 3).select(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.functions.text import WORD_RE
+from presswork.session import cut_lineage
 
 
 def sentence_counts(tokens: DataFrame, group: str = "id", sent: str = "sent",
@@ -46,10 +47,9 @@ def word_graph(counts: DataFrame, group: str = "id", sent: str = "sent") -> Data
 # ----------------------------------------------------------------------------
 # TF-IDF family
 
-def vocab_bound(docs: DataFrame, group: Sequence[str], tokens: str = "tokens") -> DataFrame:
+def vocab_bound(docs: DataFrame, group: Sequence[str], ntok="ntok") -> DataFrame:
     """Floor of the mean token count per group."""
-    return docs.groupBy(*group).agg(
-        F.floor(F.avg(F.size(tokens))).cast("int").alias("bound"))
+    return docs.groupBy(*group).agg(F.floor(F.avg(ntok)).cast("int").alias("bound"))
 
 
 def term_stream(docs: DataFrame, keys: Sequence[str], tokens: str = "tokens",
@@ -78,12 +78,23 @@ def term_stream(docs: DataFrame, keys: Sequence[str], tokens: str = "tokens",
             .filter(F.col("term").isNotNull()))
 
 
-def vocabulary(terms: DataFrame, group: Sequence[str], doc: str, bound: DataFrame,
-               min_df: int = 3) -> DataFrame:
+def term_counts(articles: DataFrame, keys: Sequence[str], tokens: str = "tokens",
+                stop: Sequence[str] | None = None, least: int = 2, within: Sequence[str] = ("date",)) -> DataFrame:
+    """P7 once per article: ``(keys..., term, tf)`` of terms that ``least``
+    articles of the same ``within`` hold. Groups are drawn from one day and
+    hold an article at most twice, so a term of P8's three documents is in two
+    articles of the day; the others (most n-grams) are left out here, once,
+    and not in every group."""
+    tf = term_stream(articles, keys, tokens, stop).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    often = tf.groupBy(*within, "term").agg(F.count(F.lit(1)).alias("_in")).filter(F.col("_in") >= least).drop("_in")
+    return tf.join(often, [*within, "term"], "left_semi").select(*keys, "term", "tf")
+
+
+def vocabulary(tf: DataFrame, group: Sequence[str], bound: DataFrame, min_df: int = 3) -> DataFrame:
     """Terms with document frequency >= ``min_df``, then the ``bound`` most
-    frequent by corpus count (ties: term ascending)."""
-    stats = terms.groupBy(*group, "term").agg(
-        F.count_distinct(doc).alias("df"), F.count(F.lit(1)).alias("tc"))
+    frequent by corpus count (ties: term ascending). ``tf``: one row per
+    (group, document, term)."""
+    stats = tf.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tc"))
     w = Window.partitionBy(*group).orderBy(F.desc("tc"), F.asc("term"))
     return (stats.filter(F.col("df") >= min_df)
             .withColumn("_r", F.row_number().over(w))
@@ -92,7 +103,7 @@ def vocabulary(terms: DataFrame, group: Sequence[str], doc: str, bound: DataFram
             .select(*group, "term", "df"))
 
 
-def tfidf(terms: DataFrame, vocab: DataFrame, docs: DataFrame, group: Sequence[str],
+def tfidf(tf: DataFrame, vocab: DataFrame, docs: DataFrame, group: Sequence[str],
           doc: str) -> DataFrame:
     """``tf * (ln((1+n)/(1+df)) + 1)``, L2-normalised per document.
 
@@ -100,7 +111,6 @@ def tfidf(terms: DataFrame, vocab: DataFrame, docs: DataFrame, group: Sequence[s
     term). Output ``(group..., doc, term, w)``.
     """
     n = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_ndocs"))
-    tf = terms.groupBy(*group, doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     raw = (tf.join(vocab, [*group, "term"]).join(n, list(group))
            .withColumn("v", F.col("tf") * (F.log((1 + F.col("_ndocs")) / (1 + F.col("df"))) + 1)))
     w = Window.partitionBy(*group, doc)
@@ -108,59 +118,81 @@ def tfidf(terms: DataFrame, vocab: DataFrame, docs: DataFrame, group: Sequence[s
                       (F.col("v") / F.sqrt(F.sum(F.col("v") * F.col("v")).over(w))).alias("w"))
 
 
-def cosine_pairs(weights: DataFrame, group: Sequence[str], doc: str,
-                 min_sim: float | None = None, half: bool = True) -> DataFrame:
-    """P10: cosine of document pairs sharing a term (equi-join on the term).
-
-    ``half`` keeps ``a < b`` only (mirror with ``mirror_pairs``).
-    """
-    a = weights.select(*group, F.col(doc).alias("a"), "term", F.col("w").alias("wa"))
-    b = weights.select(*group, F.col(doc).alias("b"), "term", F.col("w").alias("wb"))
-    j = a.join(b, [*group, "term"])
-    if half:
-        j = j.filter(F.col("a") < F.col("b"))
-    out = j.groupBy(*group, "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    if min_sim is not None:
-        out = out.filter(F.col("sim") >= min_sim)
-    return out
-
-
-def mirror_pairs(pairs: DataFrame) -> DataFrame:
-    """Both orientations of half pairs ``a < b``."""
-    cols = [c for c in pairs.columns if c not in ("a", "b")]
-    return pairs.unionByName(
-        pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), *cols))
-
+def similar_candidates(ranked: DataFrame, group: Sequence[str], doc: str, min_sim: float) -> DataFrame:
+    """Pairs ``(group..., a, b)``, ``a < b``, of unit vectors that may reach
+    ``min_sim``; ``ranked``: ``(group..., doc, rk, w)`` with terms numbered by
+    rarity.
 
-def cosine_pairs_grouped(weights: DataFrame, group: Sequence[str], doc: str,
-                         min_sim: float, strict: bool = False) -> DataFrame:
-    """P10 per group as one dense product: ``(group..., a, b, sim)`` for
-    ``a < b`` with ``round(sim, 6) >= min_sim`` (``>`` when ``strict``).
-
-    The term-level equi-join emits sum(df^2) rows, which frequent n-grams
-    blow up; a combo-day group is bounded by the crawl quota (at most a few
-    thousand articles, a vocabulary of at most the mean token count), so its
-    documents x terms block fits one task and ``W W^T`` is one matrix product.
+    A vector's prefix ends where the norm of what follows is under ``min_sim``.
+    The rarest term that two vectors share starts all that they share, so if
+    it lay behind the prefix of one of them, their product would be less than
+    that norm: vectors that reach ``min_sim`` share a term of both prefixes."""
+    g = list(group)
+    walk = Window.partitionBy(*g, doc).orderBy("rk")
+    square = F.col("w") * F.col("w")
+    ahead = F.sum(square).over(Window.partitionBy(*g, doc)) - (F.sum(square).over(walk.rowsBetween(Window.unboundedPreceding, 0)) - square)
+    rare = ranked.withColumn("_ahead", ahead).filter(F.col("_ahead") >= (min_sim - 1e-6) ** 2).select(*g, doc, "rk")
+    a, b = rare.withColumnRenamed(doc, "a"), rare.withColumnRenamed(doc, "b")
+    return a.join(b, [*g, "rk"]).filter(F.col("a") < F.col("b")).select(*g, "a", "b").distinct()
+
+
+def cosine_pairs(weights: DataFrame, group: Sequence[str], doc: str, min_sim: float,
+                 strict: bool = False, block: int = 128) -> DataFrame:
+    """P10: ``(group..., a, b, sim)`` for ``a < b`` with ``round(sim, 6) >=
+    min_sim`` (``>`` when ``strict``) by a prefix-filtered join.
+
+    Terms are taken in order of rarity and only prefixes are joined (see
+    ``similar_candidates``); the candidates are then computed in full. For that
+    they meet their vectors by blocks of ``block`` documents: a task holds two
+    blocks at a time, whatever the size of the group.
     """
     import numpy as np
     import pandas as pd
 
     g = list(group)
-    dt = dict(weights.dtypes)
-    schema = ", ".join([f"{c} {dt[c]}" for c in g] + [f"a {dt[doc]}", f"b {dt[doc]}", "sim double"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        docs, di = np.unique(pdf[doc].to_numpy(), return_inverse=True)
-        _, ti = np.unique(pdf["term"].to_numpy(dtype=object), return_inverse=True)
-        W = np.zeros((len(docs), ti.max() + 1 if len(ti) else 0))
-        np.add.at(W, (di, ti), pdf["w"].to_numpy(dtype=float))
-        S = np.round(W @ W.T, 6)
-        ia, ib = np.triu_indices(len(docs), k=1)
-        s = S[ia, ib]
-        keep = s > min_sim if strict else s >= min_sim
-        out = pd.DataFrame({"a": docs[ia[keep]], "b": docs[ib[keep]], "sim": s[keep]})
-        for i, c in enumerate(g):
-            out.insert(i, c, pdf[c].iloc[0])
+    kinds = dict(weights.dtypes)
+    stats = weights.groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"))
+    # a group's terms are bounded by P8's vocabulary
+    rank = stats.select(*g, "term", F.row_number().over(Window.partitionBy(*g).orderBy("df", "term")).alias("rk"))
+    ranked = cut_lineage(weights.join(rank, [*g, "term"]).select(*g, doc, "rk", "w"))
+    found = similar_candidates(ranked, g, doc, min_sim)
+    where = (ranked.select(*g, doc).distinct()
+             .withColumn("_block", F.floor((F.row_number().over(Window.partitionBy(*g).orderBy(doc)) - 1) / block).cast("int")))
+    found = (found.join(where.select(*g, F.col(doc).alias("a"), F.col("_block").alias("_ba")), [*g, "a"])
+             .join(where.select(*g, F.col(doc).alias("b"), F.col("_block").alias("_bb")), [*g, "b"]))
+    found = cut_lineage(found.select(*g, "_ba", "_bb", "a", "b"))
+    vectors = (ranked.groupBy(*g, doc).agg(F.collect_list("rk").alias("rks"), F.collect_list("w").alias("ws"))
+               .join(where, [*g, doc]))
+    needs = found.select(*g, "_ba", "_bb").distinct()
+    sides = vectors.join(needs.withColumn("_block", F.col("_ba")), [*g, "_block"]).unionByName(
+        vectors.join(needs.filter("_ba <> _bb").withColumn("_block", F.col("_bb")), [*g, "_block"]))
+    schema = ", ".join([f"{c} {kinds[c]}" for c in g] + [f"a {kinds[doc]}", f"b {kinds[doc]}", "sim double"])
+
+    def run(key, pairs: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
+        at = pd.Series(np.arange(len(vecs)), index=vecs[doc].to_numpy())
+        row = np.repeat(np.arange(len(vecs)), vecs["rks"].map(len))
+        terms, col = np.unique(np.concatenate([np.zeros(0, np.int64), *vecs["rks"]]), return_inverse=True)
+        W = np.zeros((len(vecs), len(terms)))
+        W[row, col] = np.concatenate([np.zeros(0), *vecs["ws"]])
+        i, j = at[pairs["a"]].to_numpy(), at[pairs["b"]].to_numpy()
+        sim = np.round((W @ W.T)[i, j], 6)
+        keep = sim > min_sim if strict else sim >= min_sim
+        out = pd.DataFrame({"a": pairs["a"].to_numpy()[keep], "b": pairs["b"].to_numpy()[keep], "sim": sim[keep]})
+        for k, c in enumerate(g):
+            out.insert(k, c, key[k])
         return out
 
-    return weights.select(*g, doc, "term", "w").groupBy(*g).applyInPandas(run, schema)
+    by = [*g, "_ba", "_bb"]
+
+    def renewed(df: DataFrame, *cols: str) -> DataFrame:
+        """Fresh attribute ids: both sides come from one table."""
+        return df.select(*[F.col(c).alias(c) for c in (*by, *cols)])
+
+    return renewed(found, "a", "b").groupBy(*by).cogroup(renewed(sides, doc, "rks", "ws").groupBy(*by)).applyInPandas(run, schema)
+
+
+def mirror_pairs(pairs: DataFrame) -> DataFrame:
+    """Both orientations of half pairs ``a < b``."""
+    cols = [c for c in pairs.columns if c not in ("a", "b")]
+    ends = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.select(*cols, F.inline(ends)).select(*pairs.columns)
