@@ -86,13 +86,6 @@ def tokens(df: DataFrame, col: str = "sentence", stop: Sequence[str] | None = No
     return df.withColumn(out, filter_tokens(raw, stop, min_len))
 
 
-def top_words(ranks: DataFrame, group: str = "id", n: int = 10,
-              score: str = "rank", word: str = "node") -> DataFrame:
-    """Top ``n`` words per group by score (rounded to 6 digits), word asc."""
-    w = Window.partitionBy(group).orderBy(F.desc(F.round(score, 6)), F.asc(word))
-    return ranks.withColumn("pos", F.row_number().over(w) - 1).filter(F.col("pos") < n)
-
-
 def drop_blacklisted(df: DataFrame, blacklist: DataFrame, word: str = "word") -> DataFrame:
     """Broadcast anti join against a bounded blacklist (a fixed list)."""
     return df.join(F.broadcast(blacklist.select(F.col("word").alias(word)).distinct()), word, "left_anti")
@@ -104,17 +97,18 @@ def keyword_counts(df: DataFrame, keys: Sequence[str] = ("slot",), word: str = "
     return df.groupBy(*keys, word).agg(F.count_distinct(doc).alias("cnt"))
 
 
-def slot_top(counts: DataFrame, n: int = 30, slot: str = "slot", word: str = "word") -> DataFrame:
-    """Top ``n`` per slot (cnt desc, word asc), ids offset by ``n * slot``."""
-    w = Window.partitionBy(slot).orderBy(F.desc("cnt"), F.asc(word))
+def slot_top(counts: DataFrame, n: int = 30, slot: str = "slot", word: str = "word",
+             by: Sequence[str] = ()) -> DataFrame:
+    """Top ``n`` per slot (of each ``by``; cnt desc, word asc), ids offset by ``n * slot``."""
+    w = Window.partitionBy(*by, slot).orderBy(F.desc("cnt"), F.asc(word))
     out = counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
     return out.withColumn("day_id", F.concat(
         F.lit("DAY_"), (F.col(slot) * n + F.col("_rn") - 1).cast("string"))).drop("_rn")
 
 
-def merge_slots(df: DataFrame, word: str = "word") -> DataFrame:
-    """Sum counts per keyword over slots."""
-    return df.groupBy(word).agg(F.sum("cnt").alias("cnt"))
+def merge_slots(df: DataFrame, word: str = "word", by: Sequence[str] = ()) -> DataFrame:
+    """Sum counts per keyword (of each ``by``) over slots."""
+    return df.groupBy(*by, word).agg(F.sum("cnt").alias("cnt"))
 
 
 def drop_fixed_overlap(day: DataFrame, fixed: DataFrame, word: str = "word",
@@ -135,6 +129,14 @@ def day_keywords(merged: DataFrame, n: int = 10, word: str = "word",
     return assign_ids(top, prefix, [F.desc("cnt"), F.asc(word)], id_col="type_id")
 
 
+def daily_keywords(merged: DataFrame, n: int = 10, word: str = "word", prefix: str = "DAY_",
+                   by: Sequence[str] = ("date",)) -> DataFrame:
+    """K17 / K18 for every day at once: top ``n`` of each ``by`` with ids ``<prefix><k>``."""
+    w = Window.partitionBy(*by).orderBy(F.desc("cnt"), F.asc(word))
+    out = merged.withColumn("_r", F.row_number().over(w) - 1).filter(F.col("_r") < n)
+    return out.withColumn("type_id", F.concat(F.lit(prefix), F.col("_r").cast("string"))).drop("_r")
+
+
 def slot_articles(df: DataFrame, slot: str = "slot", doc: str = "id") -> DataFrame:
     """Analysed articles per slot."""
     return df.groupBy(slot).agg(F.count_distinct(doc).alias("articles"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.session import co_partition_on_group, group_partitions
+from presswork.session import co_partition_on_group, cut_lineage, group_partitions
 from presswork.functions.stopwords import FUNCTION_WORDS, GENERIC_WORDS
 from presswork.operators import graph, keywords as K, vectors as V
 from presswork.sources.corpus import corpus_articles, fixed_keywords
@@ -94,6 +94,33 @@ def cloud_words(spark, sf_dir, n: int = 15) -> DataFrame:
     return out.select(F.col("type_id").alias("day_id"), F.col("word").alias("value"), "cnt")
 
 
+def daily_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> K3 with a date key: ``(id, date, slot)`` of the articles that each
+    day's run analyses. Ages count back from the end of the day, so articles
+    of other days (or of the very midnight before) are in no slot."""
+    art = corpus_articles(spark, sf_dir).filter(F.col("ts").isNotNull()).select("id", "date", "title", "ts")
+    art = K.age_slot(art, "ts", F.date_add("date", 1).cast("timestamp"), wrap=False)
+    return K.dedup_title(art, [F.col("id")], ("date", "slot")).select("id", "date", "slot")
+
+
+def daily_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 -> K13 with a date key: ``(date, slot, word, cnt)``. Ids are chosen
+    first and written, so the texts join them once and the words of an article
+    find its day and slot again without reading a text."""
+    chosen = cut_lineage(daily_articles(spark, sf_dir))
+    texts = corpus_articles(spark, sf_dir).select("id", "title", "content").join(chosen.select("id", "slot"), "id")
+    kw = article_keywords(sentence_tokens(K.concat_text(texts)))
+    bl = spark.createDataFrame([(w,) for w in GENERIC_WORDS], "word string")
+    kw = K.drop_blacklisted(kw, bl).join(chosen, "id")
+    return K.keyword_counts(kw, ["date", "slot"], "word", "id")
+
+
+def daily_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K14 -> K16 with a date key: ``(date, word, cnt)``."""
+    top = K.slot_top(daily_slot_counts(spark, sf_dir), 30, by=["date"])
+    return K.drop_fixed_overlap(K.merge_slots(top, by=["date"]), fixed_keywords(spark, sf_dir))
+
+
 def top_words_by_frequency(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
     """Minimum J2 slice without the graph: documents -> K5 -> K6 -> K13 -> K17.
 

@@ -29,40 +29,40 @@ def numbered(arts: DataFrame, g: list[str], order: str) -> DataFrame:
     return cut_lineage(s.withColumn("node", (F.row_number().over(w) - 1).cast("int")).drop(order, "spos"))
 
 
-def keyword_sentences(spark, sf) -> DataFrame:
+def keyword_sentences(spark, sf, c: Clustering | None = None) -> DataFrame:
     """U2 -> U5 per (date, keyword). Texts join the ids that U2 leaves."""
-    c = Clustering(spark, sf)
+    c = c or Clustering(spark, sf)
     capped = U.cap_articles(c.rows.select(*KG, "id"), KG, [F.col("id")], 20)
     return numbered(capped.join(c.articles.select("date", "id", "content"), ["date", "id"]), KG, "id")
 
 
-def keyword_summaries(spark, sf) -> DataFrame:
+def keyword_summaries(spark, sf, c: Clustering | None = None) -> DataFrame:
     """``(date, keyword, summary, converged)``; keywords without sentences
     are skipped (U15). ``converged`` is false where the ranks still moved when
     the rounds ended, so such a summary is not taken for a finished one."""
-    s = cut_lineage(U.drop_redundant(keyword_sentences(spark, sf), KG, ["node"], 0.7, "min"))
+    s = cut_lineage(U.drop_redundant(keyword_sentences(spark, sf, c), KG, ["node"], 0.7, "min"))
     ranks = cut_lineage(graph.div_rank_converged(U.sentence_graph(s, KG), s.select(*KG, "node"), KG))
     state = ranks.groupBy(*KG).agg(F.min("converged").alias("converged"))
     return U.summary_by_score(ranks, s, KG, 4).join(state, KG)
 
 
-def combo_sentences(spark, sf) -> DataFrame:
+def combo_sentences(spark, sf, c: Clustering | None = None) -> DataFrame:
     """U1 -> U6 per (date, combo, label) of J4's rows, found by their keys."""
-    rows = Clustering(spark, sf).cluster_articles()
+    rows = (c or Clustering(spark, sf)).cluster_articles()
     rows = rows.select("date", U.combo_of("row_key").alias("combo"), "label", "n", "content")
     s = numbered(U.cap_articles(rows, CG, [F.col("n")], 20), CG, "n")
     return cut_lineage(U.drop_redundant(s, CG, ["node"], 0.7, "max"))
 
 
-def combo_graph(spark, sf) -> tuple[DataFrame, DataFrame]:
-    s = combo_sentences(spark, sf)
+def combo_graph(spark, sf, c: Clustering | None = None) -> tuple[DataFrame, DataFrame]:
+    s = combo_sentences(spark, sf, c)
     return s, cut_lineage(U.sentence_graph(s, CG))
 
 
-def combo_summaries(spark, sf) -> DataFrame:
+def combo_summaries(spark, sf, c: Clustering | None = None) -> DataFrame:
     """``(date, keyword, summary)`` per combo; a block for each cluster
     label, in their order."""
-    s, edges = combo_graph(spark, sf)
+    s, edges = combo_graph(spark, sf, c)
     blocks = U.summary_in_order(graph.salience(edges, s.select(*CG, "node"), CG), s, CG, 5)
     return blocks.groupBy("date", F.col("combo").alias("keyword")).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("label", "summary"))), lambda b: b["summary"]), "").alias("summary"))
