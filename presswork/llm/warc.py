@@ -34,10 +34,13 @@ import re
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.llm.common import cut_lineage
 from presswork.session import checkpoint_dir
 
 #: Field names of ARC header lines by version.
@@ -76,15 +79,26 @@ def arc_bytes(name: str, records: Iterable[tuple[str, str, str, int, bytes]], ve
     return out.getvalue()
 
 
+def _runs(sizes: np.ndarray, records: int, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``records`` rows of ``most_bytes`` together, or one larger row."""
+    ends, a = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while a < len(sizes):
+        b = min(a + records, max(a + 1, int(np.searchsorted(ends, ends[a] + most_bytes, "right")) - 1))
+        yield a, b
+        a = b
+
+
 def pages_to_arc(pages: DataFrame, version: int = 1, records: int = 400, id_col: str = "page_id", url: str = "url",
-                 html: str = "html", date: str = "20240101000000") -> DataFrame:
+                 html: str = "html", date: str = "20240101000000", most_bytes: int = 64 << 20) -> DataFrame:
     """Archives ``(path, content)`` of the pages of each task, at most
-    ``records`` to a file; the id is a header of the archived HTTP response."""
+    ``records`` and ``most_bytes`` of html to a file (a larger page has its
+    own); the id is a header of the archived HTTP response."""
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, records):
-                part = batch.slice(a, records)
+            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            for a, b in _runs(sizes, records, most_bytes):
+                part = batch.slice(a, b - a)
                 name = f"pages-{hashlib.sha256(repr(part.column(0).to_pylist()).encode()).hexdigest()[:16]}.arc"
                 rows = []
                 for i, u, h in zip(*(c.to_pylist() for c in part.columns), strict=True):
@@ -214,15 +228,23 @@ def convert_archives(archives: DataFrame) -> DataFrame:
 
 # --- revisits ------------------------------------------------------------
 
-def with_revisits(records: DataFrame, least_bytes: int = 100, order: str = "bigint") -> DataFrame:
-    """Records with ``refers_to_id`` and the id of the record referred to.
+def headers(records: DataFrame) -> DataFrame:
+    """What decides of records, without their payloads; written, so that the
+    archives are not parsed for each reader."""
+    return cut_lineage(records.select("record_id", "warc_type", "uri", "date", "page_key", "payload_bytes", "payload_digest"))
+
+
+def with_revisits(records: DataFrame, least_bytes: int = 100, order: str = "bigint", known: DataFrame | None = None) -> DataFrame:
+    """Records with ``refers_to_id`` and the id of the record referred to;
+    ``known``: their ``headers``.
 
     First the digests alone are grouped (partial aggregation, so a payload in
     a third of all records meets in one row a task); the payloads then meet
     their decision by record id, which spreads them evenly.
     """
     key = F.col("page_key").cast(order)
-    small = (records.where((F.col("warc_type") == "response") & (F.col("payload_bytes") >= least_bytes))
+    known = headers(records) if known is None else known
+    small = (known.where((F.col("warc_type") == "response") & (F.col("payload_bytes") >= least_bytes))
              .select("record_id", "payload_digest", "uri", "date", key.alias("key")))
     first = small.groupBy("payload_digest").agg(
         F.min(F.struct(F.col("key").isNull().alias("last"), "key", "record_id", "uri", "date")).alias("f"))
@@ -256,7 +278,24 @@ def warc_record(record_id, kind, uri, date, mime, head, payload, digest, refers_
     return "\r\n".join(lines).encode() + END + block
 
 
-def write_warc(records: DataFrame, path: str, records_per_file: int = 20_000) -> None:
+#: A WARC file is read back as one value: bytes of payloads in a file, and the
+#: size from which a payload is written to files of fewer records.
+FILE_BYTES, LARGE = 1 << 30, 256 << 10
+
+
+def write_bounded(records: DataFrame, path: str, largest: int) -> None:
+    """Writes WARC files of at most ``FILE_BYTES`` of payloads (one larger payload
+    has its own), given the ``largest`` payload's size: payloads up to ``LARGE``
+    first, the others, where there are any, with fewer to a file."""
+    size = F.coalesce("payload_bytes", F.lit(0))
+    if largest <= LARGE:
+        write_warc(records, path, FILE_BYTES // LARGE)
+    else:
+        write_warc(records.where(size <= LARGE), path, FILE_BYTES // LARGE)
+        write_warc(records.where(size > LARGE), path, max(1, FILE_BYTES // largest), "append")
+
+
+def write_warc(records: DataFrame, path: str, records_per_file: int = 4096, mode: str = "errorifexists") -> None:
     """Writes gzipped WARC files to the folder ``path``."""
 
     def run(batches):
@@ -268,7 +307,7 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = 20_000) ->
     raw = records.where("warc_type <> 'malformed'").select(*_IN).mapInArrow(run, "value binary")
     # a binary cast to string keeps its bytes, whatever they are
     (raw.select(F.col("value").cast("string")).write.option("lineSep", END.decode()).option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("maxRecordsPerFile", records_per_file).mode(mode).text(path))
 
 
 _READ = ("path string, record_id string, record_type string, uri string, date string, page_key string, "
@@ -316,11 +355,15 @@ def archive_pages(pages: DataFrame, version: int = 2, path: str | None = None, l
     spark, kind = pages.sparkSession, dict(pages.dtypes)[id_col]
     path = path or f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     records = convert_archives(pages_to_arc(pages, version, id_col=id_col))
-    write_warc(with_revisits(records, least_bytes, kind), path)
+    known = headers(records)
+    largest = known.agg(F.max("payload_bytes")).first()[0] or 0
+    write_bounded(with_revisits(records, least_bytes, kind, known), path, largest)
     back = read_warc(spark, path).where("record_type in ('response', 'revisit', 'malformed')")
     back = back.withColumn("ok", F.when(F.col("record_type") == "malformed", F.raise_error(F.concat(F.lit("archive read back with an error: "), F.col("error"))).cast("boolean"))
                            .when(F.col("payload_digest") != F.col("declared_digest"), F.raise_error(F.lit("payload differs from its declared digest")).cast("boolean"))
                            .otherwise(F.lit(True))).where("ok")
+    # the archives are parsed once for the readers below
+    back = cut_lineage(back.select("record_id", "record_type", "page_key", "payload_bytes", "payload_digest", "declared_digest", "refers_to_id"))
     key = F.col("page_key").cast(kind)
     own = back.where("record_type = 'response'").select(key.alias("page_id"), "payload_bytes", "payload_digest",
                                                         "record_type", F.lit(None).cast(kind).alias("refers_to"), "record_id")

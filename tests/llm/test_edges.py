@@ -347,6 +347,19 @@ def test_archives(spark, tmp_path):
     assert warc.archive_pages(empty(df), 1, str(tmp_path / "none")).count() == 0
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    assert list(warc._runs(np.array([5, 5, 5, 99, 1, 1]), 400, 10)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(warc._runs(np.array([0, 0, 0]), 2, 10)) == [(0, 2), (2, 3)] and list(warc._runs(np.zeros(0, int), 2, 10)) == []
+    df = spark.createDataFrame([(i, f"http://x/{i}", "y" * (9000 if i % 3 == 0 else 50)) for i in range(30)], "page_id long, url string, html string").coalesce(1)
+    assert warc.pages_to_arc(df, most_bytes=10_000).count() > 8 and warc.pages_to_arc(df).count() == 1
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "LARGE", 1000)
+    got = warc.archive_pages(df, path=str(tmp_path / "w")).collect()
+    # two large pages to a file; the small ones and the file description, 20 to a file
+    assert len(list((tmp_path / "w").glob("*.gz"))) == 7 and sorted(r.page_id for r in got) == list(range(30))
+    assert all(r.payload_bytes == (9000 if r.page_id % 3 == 0 else 50) for r in got)
+
+
 def test_archive_parsing(spark):
     import gzip
     records = [("http://x/a b", "20240131", "text/html", 200, b"HTTP/1.1 200 OK\r\nA: b\r\n\r\npay\r\n\r\nload\n"), ("dns:x", "2024013123595", "text/dns", 200, b"\xff\x00\n")]
