@@ -120,6 +120,39 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(load(spark, sf_dir, "documents").select("doc_id", "text"), spelling.Settings(drop_of=31))
 
 
-@query("op13_diagonal_licenses")
+def _license_rows(s: licenses.Settings) -> str:
+    rows = [(*x, True) for x in s.phrases] + [(*x, False) for x in s.notices]
+    return ", ".join(f"({i}, '{label}', '{text}', {phrase})" for i, (label, text, phrase) in enumerate(rows))
+
+
+def _license_words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.WORDS}')"
+
+
+_S = licenses.Settings()
+
+
+@query("op13_diagonal_licenses", f"""
+with d as materialized (select row_number() over () as rn, doc_id, {_license_words('text')} as w from documents),
+p(template, label, txt, phrase) as (values {_license_rows(_S)}),
+pw as materialized (select template, label, phrase, windows, t, pw0[t + 1:t + {_S.k}] as gram from (
+  select template, label, phrase, len(w0) - {_S.k - 1} as windows, w0 as pw0, unnest(range(len(w0) - {_S.k - 1})) as t
+  from (select *, {_license_words('txt')} as w0 from p))),
+hit as materialized (select rn, template, label, phrase, windows, pos - t as diagonal, t from (
+  select rn, pos, w[pos + 1:pos + {_S.k}] as gram from (select rn, w, unnest(range(len(w) - {_S.k - 1})) as pos from d where len(w) >= {_S.k})) join pw using (gram)),
+votes as (select rn, template, label, phrase, windows, diagonal, count(distinct t) as votes from hit group by all),
+base as (select rn, count(*) filter (votes = windows) as n_base, min(diagonal) filter (votes = windows) as first_word,
+  max(diagonal) filter (votes = windows) as last_word, list(distinct label) filter (votes = windows) as labels, max(votes / windows) as share
+  from votes where phrase group by rn),
+marked as (select *, case when diagonal - lag(diagonal) over (partition by rn, template order by diagonal) <= {_S.slack} then 0 else 1 end as new
+  from votes where not phrase),
+span as (select rn, template, diagonal, sum(new) over (partition by rn, template order by diagonal rows unbounded preceding) as span from marked),
+held as (select rn, label, template, span, count(distinct t) / any_value(windows) as share from hit join span using (rn, template, diagonal) group by all),
+notice as (select rn, list(distinct label) filter (share >= {_S.least}) as labels, max(share) as share from held group by rn)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(b.labels, [])), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(n.labels, [])))), ',') as labels,
+  greatest(coalesce(b.share, 0), coalesce(n.share, 0)) as score
+from d left join base b using (rn) left join notice n using (rn)""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
