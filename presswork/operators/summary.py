@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.functions.text import split_sentences, word_tokens
-from presswork.session import cut_lineage
+from presswork.session import co_partition_on_group, cut_lineage, group_partitions
 
 
 def combo_of(key) -> F.Column:
@@ -122,10 +122,13 @@ def decide(pairs: DataFrame, g: Sequence[str]) -> DataFrame:
 def sentence_graph(sents: DataFrame, group: Sequence[str], node: str = "node") -> DataFrame:
     """U8: ``|A n B| / ((ln(|A|+1)+1) + (ln(|B|+1)+1))`` on distinct token sets,
     via a self equi-join on (group, token) of the half ``src < dst``, mirrored
-    after the count; zero diagonal.
+    after the count; zero diagonal. Sentences are partitioned by their group
+    once (U2 bounds it); the join, the count and what is grouped next by the
+    group follow there, so pairs are never shuffled.
     Output ``(group..., src, dst, w)`` for pairs sharing a token."""
-    g = list(group)
-    d = sents.select(*g, node, F.array_distinct("tokens").alias("t"))
+    g, spark = list(group), sents.sparkSession
+    co_partition_on_group(spark)
+    d = sents.select(*g, node, F.array_distinct("tokens").alias("t")).repartition(group_partitions(spark), *g)
     ex = d.select(*g, node, F.size("t").alias("size"), F.explode("t").alias("tok"))
     a = ex.select(*g, F.col(node).alias("src"), F.col("size").alias("sa"), "tok")
     b = ex.select(*g, F.col(node).alias("dst"), F.col("size").alias("sb"), "tok")
