@@ -91,20 +91,3 @@ def split_sentences(c) -> Column:
     pattern, so a run never crosses a newline.
     """
     return F.regexp_extract_all(col_(c), F.lit(SENTENCE_RE), 1)
-
-
-def ngrams(tokens, n_min: int = 1, n_max: int = 3) -> Column:
-    """All n-grams of ``n_min``..``n_max`` words, space-joined.
-
-    Order: all unigrams, then all bigrams, ... (each by start position).
-    """
-    t = col_(tokens)
-    parts = []
-    for n in range(n_min, n_max + 1):
-        parts.append(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(0))),
-            lambda i, n=n: F.array_join(F.slice(t, i, n), " "),
-        ))
-        # sequence(1, 0) yields [1, 0]; drop those when the text is too short
-        parts[-1] = F.when(F.size(t) >= n, parts[-1]).otherwise(F.array().cast("array<string>"))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
