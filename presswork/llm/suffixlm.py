@@ -1,25 +1,30 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Training counts every word. The tree's states are contexts of up to ``depth``
-words; a context can be a state when it makes up ``least_context`` of all
-training tokens (so at most ``1 / least_context`` contexts of a length can),
-and it is kept when its next-symbol counts diverge from those its parent (the
-context without its first word) predicts: twice the log-likelihood ratio
-exceeds its expectation under the parent by ``strength`` deviations. A kept
-context keeps its suffixes. Next symbols with ``least_next`` of all tokens
-after a context are stored with the count less ``discount``; what is left of a
+Training counts every word and every run of up to ``depth + 1`` tokens. A
+context of up to ``depth`` words can be a state when it is seen ``least_count``
+times; its next symbols that are seen ``least_next`` times are stored. It is
+kept when these diverge from what its parent (the context without its first
+word) predicts: the log-likelihood ratio of the stored symbols and one cell for
+all others must exceed ``log(count)`` a stored symbol, plus ``strength``. A
+stored symbol's probability is its count less ``discount``; what is left of a
 state's probability goes to all other symbols in proportion to the parent's
-distribution. The root is the add-one distribution over the V training words
-and one unknown word, so every state's distribution sums to one.
+distribution (the next shorter suffix, kept or not: one that is not kept is its
+own parent's distribution). The root is the add-one distribution over the V
+training words and one unknown word, so every state's distribution sums to one.
+These counts are fixed, so states grow with the corpus.
 
 A text is scored token by token, each in the state of the longest kept suffix
-of the words before it; the end of the text is a token too.
-
-What is broadcast is bounded whatever the corpus: the table of frequent words
-(at most ``1 / least_word`` entries), and per length ``1 / least_context``
-states and ``1 / least_next`` stored symbols. Counts of all other words are
-never gathered: texts send their rare words, packed by destination, to where
-their counts are, and get back partial sums.
+of the words before it; the end of the text is a token too. The log
+probability of a token is that of the root, plus for each suffix of its context
+the state's log factor for what is not stored, plus, where the symbol is stored,
+the difference that storing makes. So every word, pair and triple of words has
+one number, and the score of a text is the sum over its own.
+
+States, symbols and counts stay in tables partitioned by hash. Texts send their
+words, pairs and triples, packed by destination, to where the numbers are, and
+get back partial sums. Those that make up ``cache`` of all tokens (at most
+``1 / cache`` of each length) are broadcast and need not be sent; this changes
+no result.
 
 Defined results: a null or empty text is its end alone; repeated rows are
 scored (and taught) each for itself; rows with a null id are scored but never
@@ -30,7 +35,8 @@ table gives no rows.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm import bytesops as B
 from presswork.llm.common import cut_lineage, spread, text_bytes
+from presswork.session import checkpoint_dir
 
 #: The end of a text, as a word hash.
 END = B.U64(0x7E57E4D0E4D7E57E)
@@ -49,24 +56,11 @@ _GOLD = B.U64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     depth: int = 2
-    least_context: float = 1e-4
-    least_symbol: float = 1e-5   # next symbols counted one by one; others are one class
-    least_next: float = 1e-6
-    least_word: float = 1e-6
-    least_count: int = 16        # of a context, however small the corpus
-    least_expected: float = 5.0  # of a cell of the divergence test; smaller ones are one cell
+    least_count: int = 16     # of a context
+    least_next: int = 4       # of a next symbol that is stored
     discount: float = 0.5
-    strength: float = 4.0
-
-
-@dataclass
-class Level:
-    """Kept contexts of one length, by hash, and their stored symbols."""
-
-    state: np.ndarray = field(default_factory=lambda: np.zeros(0, B.U64))     # sorted context hashes
-    rest: np.ndarray = field(default_factory=lambda: np.zeros(0))             # log10 factor of the parent's probability
-    pair: np.ndarray = field(default_factory=lambda: np.zeros(0, B.U64))      # sorted hashes of (context, symbol)
-    log: np.ndarray = field(default_factory=lambda: np.zeros(0))              # log10 probability
+    strength: float = 4.0     # nats
+    cache: float = 1e-6       # share of the tokens; says only what is broadcast
 
 
 @dataclass
@@ -74,9 +68,12 @@ class Model:
     settings: Settings
     tokens: int               # N
     words: int                # V
-    word: np.ndarray          # sorted hashes of frequent words
+    counts: DataFrame         # all words' counts, a packed row per destination
+    entries: DataFrame        # (hash, n, extra) of every stored word, pair, triple
+    states: list[DataFrame]   # per length (context, c, rest): kept contexts
+    hash: np.ndarray          # those that are broadcast, sorted
     count: np.ndarray
-    levels: list[Level]
+    extra: np.ndarray
 
     @property
     def log_total(self) -> float:
@@ -109,15 +106,16 @@ class Tokens:
         self.doc = np.repeat(np.arange(n), np.diff(self.first))
         self.place = np.arange(len(self.hash)) - self.first[self.doc]
 
-    def contexts(self, depth: int) -> list[np.ndarray]:
-        """For k = 1 .. depth the hash of the k tokens before each token, 0
-        where the text has fewer: that of k - 1 tokens, followed by the last."""
-        out = []
-        for k in range(1, depth + 1):
-            c = np.zeros(len(self.hash), B.U64)
-            c[1:] = self.hash[:-1] if k == 1 else _follow(out[-1][:-1], self.hash[:-1])
-            c[self.place < k] = 0
-            out.append(c)
+    def grams(self, most: int) -> list[np.ndarray]:
+        """For k = 1 .. most the hash of the k tokens that end at each token, 0
+        where the text has fewer: the k - 1 tokens before it, followed by the
+        k - 1 that end at it."""
+        out = [self.hash]
+        for k in range(2, most + 1):
+            g = np.zeros(len(self.hash), B.U64)
+            g[1:] = _follow(out[-1][:-1], out[-1][1:])
+            g[self.place < k - 1] = 0
+            out.append(g)
         return out
 
 
@@ -136,7 +134,7 @@ _COUNTS = "part int, hashes binary, counts binary"
 
 
 def _place(h: np.ndarray, parts: int) -> np.ndarray:
-    return (B.mix64(h) % B.U64(parts)).astype(np.int64)
+    return ((h & B.U64(0x7FFFFFFF)) % B.U64(parts)).astype(np.int64)
 
 
 def _merge(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,8 +193,8 @@ def _totals(batches):
             yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())]), pa.array([len(n)])], names=["tokens", "words"])
 
 
-def _large(batches, least: float):
-    """Entries of at least ``least``: at most total / least of them in all."""
+def _large(batches, least: int):
+    """Rows of the words seen at least ``least`` times."""
     for batch in batches:
         for a, b in zip(batch.column(1), batch.column(2), strict=True):
             h, n = np.frombuffer(a.as_buffer(), B.U64), np.frombuffer(b.as_buffer(), np.int64)
@@ -205,170 +203,159 @@ def _large(batches, least: float):
                 yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], names=["hash", "n"])
 
 
-def _collect_large(table: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    got = table.mapInArrow(lambda it: _large(it, least), "hash long, n long").toPandas()
-    h, n = got["hash"].to_numpy(np.int64).view(B.U64), got["n"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
+# --- runs of tokens: a context and its next symbol ------------------------
 
+_CELLS = "k int, part int, contexts binary, sizes binary, suffixes binary, counts binary"
+_STORED = "k int, context long, suffix long, key long, n long"
 
-# --- learning -------------------------------------------------------------
 
-@dataclass
-class _Candidates:
-    """Candidate contexts of one length, in order of their hashes, with what
-    their parents predict."""
+def _merge_cells(c: np.ndarray, s: np.ndarray, n: np.ndarray):
+    """Equal (context, suffix) added up; in order of their hash."""
+    key = _follow(c, s)
+    order = np.argsort(key)
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return c[order[at]], s[order[at]], np.add.reduceat(n[order], at) if len(at) else n, key[at]
+
+
+def _packed_cells(k: int, c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row per destination; each context is written once in it. A context is
+    dealt over 16 destinations, as one word may come before a third of all."""
+    part = _place(B.mix64(c + (s & B.U64(15)) * _GOLD), parts)
+    order = np.lexsort((c, part))
+    part, c, s, n = part[order], c[order], s[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (part[1:] != part[:-1])]))
+    sizes, head, of = np.diff(np.append(new, len(c))).astype(np.uint32), c[new], part[new]
+    dest = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+    ends = np.append(dest, len(of))
+    cuts = np.append(new, len(c))[ends]
+
+    def binary(x, cut):
+        return pa.Array.from_buffers(pa.binary(), len(dest), [None, pa.py_buffer((cut * x.dtype.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+    return pa.RecordBatch.from_arrays([pa.array([k] * len(dest), pa.int32()), pa.array(of[dest], pa.int32()), binary(head, ends), binary(sizes, ends), binary(s, cuts), binary(n.astype(np.uint32), cuts)],
+                                      names=[x.split(" ")[0] for x in _CELLS.split(", ")])
 
-    words: list[tuple[int, ...]]   # word hashes of each
-    hash: np.ndarray
-    count: np.ndarray
-    parent: np.ndarray             # place of the parent's row in ``predicted``
-    predicted: np.ndarray          # parents x symbols: probability of each symbol
 
+def _cells(batches, depth: int, parts: int, most: int = 3_000_000):
+    """Contexts of each length with the suffix that their next symbol makes,
+    added up in the task before they are sent."""
+    held = {k: ([], [], []) for k in range(1, depth + 1)}
+
+    def flush(k, least):
+        c, s, n = (np.concatenate(x) for x in held[k])
+        c, s, n, _ = _merge_cells(c, s, n)
+        if len(c) > least:
+            held[k] = ([], [], [])
+            yield _packed_cells(k, c, s, n, parts)
+        else:
+            held[k] = ([c], [s], [n])
 
-def _codes(batches, k: int, states: np.ndarray, symbols: np.ndarray):
-    """``state * (symbols + 1) + symbol`` of the tokens after a candidate; the
-    last symbol stands for all words that are not counted by themselves."""
     for t in _taught(batches):
-        state = _find(states, t.contexts(k)[-1])
-        at = np.flatnonzero((state >= 0) & (t.place >= k))
-        if len(at):
-            symbol = _find(symbols, t.hash[at])
-            symbol[symbol < 0] = len(symbols)
-            yield (state[at] * (len(symbols) + 1) + symbol).astype(B.U64)
-
-
-def _evidence(batches, c: _Candidates, least: float):
-    """Of each state: the log-likelihood ratio of the cells with a large enough
-    expectation and how many tokens those cells hold."""
-    n_symbols = c.predicted.shape[1]
-    for batch in batches:
-        for a, b in zip(batch.column(1), batch.column(2), strict=True):
-            code, n = np.frombuffer(a.as_buffer(), B.U64).astype(np.int64), np.frombuffer(b.as_buffer(), np.int64)
-            state, symbol = code // (n_symbols + 1), code % (n_symbols + 1)
-            state, symbol, n = (x[symbol < n_symbols] for x in (state, symbol, n))
-            expected = c.count[state] * c.predicted[c.parent[state], symbol]
-            keep = expected >= least
-            state, n, expected = state[keep], n[keep], expected[keep]
-            if len(state):
-                each, at = np.unique(state, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(np.bincount(at, n * np.log(n / expected))), pa.array(np.bincount(at, n).astype(np.int64))],
-                                                 names=["state", "ratio", "n"])
-
-
-def _kept(table: DataFrame, c: _Candidates, s: Settings) -> np.ndarray:
-    """Which candidates diverge from their parents."""
-    ratio, seen = np.zeros(len(c.hash)), np.zeros(len(c.hash))
-    got = (table.mapInArrow(lambda it: _evidence(it, c, s.least_expected), "state long, ratio double, n long")
-           .groupBy("state").agg(F.sum("ratio").alias("ratio"), F.sum("n").alias("n")).toPandas())  # a row a candidate
-    ratio[got["state"]], seen[got["state"]] = got["ratio"], got["n"]
-    keep = np.zeros(len(c.hash), bool)
-    for i in range(len(c.hash)):
-        p = c.predicted[c.parent[i]]
-        large = p * c.count[i] >= s.least_expected
-        pooled, left = 1 - float(p[large].sum()), c.count[i] - seen[i]
-        cells = int(large.sum())
-        total = ratio[i] + (left * math.log(left / (c.count[i] * pooled)) if left > 0 and pooled > 0 else 0)
-        keep[i] = cells > 0 and 2 * total > cells + s.strength * math.sqrt(2 * cells)
-    return keep
-
-
-def learn(docs: DataFrame, s: Settings, parts: int) -> tuple[Model, DataFrame]:
-    """The model and the table of all word counts (a packed row per destination)."""
-
-    def counted(items) -> DataFrame:
-        return cut_lineage(docs.mapInArrow(lambda it: _counted(items(it), parts), _COUNTS).groupBy("part").applyInArrow(_summed, _COUNTS))
-
-    counts = counted(lambda it: (t.hash for t in _taught(it)))
+        grams = t.grams(depth)
+        for k in range(1, depth + 1):
+            at = np.flatnonzero(t.place >= k)
+            if len(at):
+                c, s, n, _ = _merge_cells(grams[k - 1][at - 1], grams[k - 1][at], np.ones(len(at), np.int64))
+                for x, y in zip(held[k], (c, s, n), strict=True):
+                    x.append(y)
+                if sum(map(len, held[k][0])) > most:
+                    yield from flush(k, most // 2)
+    for k in held:
+        if held[k][0]:
+            yield from flush(k, 0)
+
+
+def _stored(group: pa.Table, least: int) -> pa.Table:
+    """The cells of a destination that are seen often enough."""
+    c = np.repeat(_whole(group, "contexts", B.U64), _whole(group, "sizes", np.uint32))
+    c, s, n, key = _merge_cells(c, _whole(group, "suffixes", B.U64), _whole(group, "counts", np.uint32).astype(np.int64))
+    keep = n >= least
+    k = pa.array(np.full(int(keep.sum()), group.column("k")[0].as_py()), pa.int32())
+    return pa.table([k, *(pa.array(x[keep].view(np.int64)) for x in (c, s, key, n))], names=[x.split(" ")[0] for x in _STORED.split(", ")])
+
+
+# --- learning -------------------------------------------------------------
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A table in the checkpoint folder."""
+    at = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def _level(cells: DataFrame, shorter: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """One length of contexts. ``shorter``: (hash, n, logp) of the stored runs
+    one token shorter. Returns (hash, n, logp, extra) of the stored cells, logp
+    being that of the last token after the others, and the kept contexts with
+    their count and log factor."""
+    context = shorter.where(F.col("n") >= s.least_count).select(F.col("hash").alias("context"), F.col("n").alias("c"))
+    parent = shorter.select(F.col("hash").alias("suffix"), F.col("logp").alias("up"))
+    cells = cells.join(parent, "suffix")
+    stats = (cells.join(context, "context")
+             .groupBy("context", "c").agg(F.count("*").alias("cells"), F.sum("n").alias("seen"), F.sum(F.col("n") - s.discount).alias("own"),
+                                          F.sum(F.pow(F.lit(10.0), "up")).alias("above"),
+                                          F.sum(F.col("n") * (F.log(F.col("n") / F.col("c")) - F.col("up") * math.log(10))).alias("ratio")))
+    left, above = F.col("c") - F.col("seen"), F.greatest(1 - F.col("above"), F.lit(1e-12))
+    ratio = F.col("ratio") + F.when(left > 0, left * F.log(left / (F.col("c") * above))).otherwise(0.0)
+    kept = (stats.where(ratio > F.col("cells") * F.log("c") + s.strength)
+            .select("context", "c", F.log10(F.greatest(1 - F.col("own") / F.col("c"), F.lit(1e-12)) / above).alias("rest")))
+    kept = _written(kept, "suffix-states")
+    own = F.log10((F.col("n") - s.discount) / F.col("c"))
+    got = cells.join(kept, "context", "left").select(
+        F.col("key").alias("hash"), "n", F.coalesce(own, F.col("up")).alias("logp"), F.coalesce(own - F.col("rest") - F.col("up"), F.lit(0.0)).alias("extra"))
+    return _written(got, "suffix-symbols"), kept
+
+
+def learn(docs: DataFrame, s: Settings, parts: int) -> Model:
+    """The model of the rows (doc_id, teach, text) that teach."""
+    counts = cut_lineage(docs.mapInArrow(lambda it: _counted((t.hash for t in _taught(it)), parts), _COUNTS).groupBy("part").applyInArrow(_summed, _COUNTS))
     size = counts.mapInArrow(_totals, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     total, distinct = int(size[0] or 0), int(size[1] or 0)
-    word, count = _collect_large(counts, s.least_word * total)
-    model = Model(s, total, distinct, word, count, [])
-    chosen = count >= max(s.least_symbol * total, 2)
-    symbols, root = word[chosen], (count[chosen] + 1) / (total + distinct + 1)
-    at = np.flatnonzero((count >= max(s.least_context * total, s.least_count)) & (word != END))
-    c = _Candidates([(int(x),) for x in word[at]], word[at], count[at], np.zeros(len(at), np.int64), root[None, :])
-    levels: list[dict] = []
+    cells = _written(docs.mapInArrow(lambda it: _cells(it, s.depth, parts), _CELLS).groupBy("k", "part").applyInArrow(lambda g: _stored(g, s.least_next), _STORED), "suffix-cells")
+    words = counts.mapInArrow(lambda it: _large(it, s.least_next), "hash long, n long")
+    level = words.withColumn("logp", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))).withColumn("extra", F.lit(0.0))
+    found, states = [level], []
     for k in range(1, s.depth + 1):
-        if not len(c.hash) or not len(symbols):
-            break
-        states = c.hash
-        table = counted(lambda it, k=k, states=states: _codes(it, k, states, symbols))
-        code, n = _collect_large(table, max(s.least_next * total, 2))
-        state, symbol = code.astype(np.int64) // (len(symbols) + 1), code.astype(np.int64) % (len(symbols) + 1)
-        own = symbol < len(symbols)
-        levels.append({"c": c, "keep": _kept(table, c, s), "state": state[own], "symbol": symbol[own], "n": n[own]})
-        if k == s.depth:
-            break
-        # the next length: a candidate followed by a word, as often as a candidate must be
-        state, symbol, n = state[own], symbol[own], n[own]
-        more = (n >= max(s.least_context * total, s.least_count)) & (symbols[symbol] != END)
-        state, symbol, n = state[more], symbol[more], n[more]
-        # what each state of this level predicts, as if it were kept
-        used = np.unique(state)
-        words = [(*c.words[i], int(symbols[j])) for i, j in zip(state.tolist(), symbol.tolist(), strict=True)]
-        place = {w: i for i, w in enumerate(c.words)}
-        parents = np.array([place.get(w[1:], -1) for w in words], np.int64)
-        ok = parents >= 0
-        used, row = np.unique(parents[ok], return_inverse=True)
-        predicted = np.stack([_predicted(levels[-1], i, s)[0] for i in used]) if len(used) else np.zeros((0, len(symbols)))
-        h = _follow(c.hash[state], symbols[symbol])[ok]
-        order = np.argsort(h)
-        c = _Candidates([w for w, good in zip(words, ok, strict=True) if good], h, n[ok], row, predicted)
-        c = _Candidates([c.words[i] for i in order], h[order], c.count[order], row[order], predicted)
-    # a kept context keeps its suffixes
-    for upper, lower in zip(levels[:0:-1], levels[-2::-1], strict=True):
-        place = {w: i for i, w in enumerate(lower["c"].words)}
-        for i in np.flatnonzero(upper["keep"]):
-            lower["keep"][place[upper["c"].words[i][1:]]] = True
-    for level in levels:
-        c, level_out = level["c"], Level()
-        kept = np.flatnonzero(level["keep"])
-        rest = np.zeros(len(kept))
-        pair, log = [], []
-        for j, i in enumerate(kept):
-            _, rest[j], symbol, p = _predicted(level, i, s)
-            pair.append(_follow(np.full(len(symbol), c.hash[i], B.U64), symbols[symbol]))
-            log.append(np.log10(p))
-        level_out.state, level_out.rest = c.hash[kept], np.log10(rest)
-        if pair:
-            pair, log = np.concatenate(pair), np.concatenate(log)
-            order = np.argsort(pair)
-            level_out.pair, level_out.log = pair[order], log[order]
-        model.levels.append(level_out)
-    return model, counts
-
-
-def _predicted(level: dict, i: int, s: Settings) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
-    """Of state i: the probability of each symbol, the factor of the parent's
-    probability for what is not stored, and the stored symbols with theirs."""
-    c = level["c"]
-    if "cut" not in level:
-        order = np.argsort(level["state"], kind="stable")
-        level["state"], level["symbol"], level["n"] = (level[x][order] for x in ("state", "symbol", "n"))
-        level["cut"] = np.searchsorted(level["state"], np.arange(len(c.hash) + 1))
-    a, b = level["cut"][i], level["cut"][i + 1]
-    symbol, p = level["symbol"][a:b], (level["n"][a:b] - s.discount) / c.count[i]
-    parent = c.predicted[c.parent[i]]
-    rest = max(1 - float(p.sum()), 1e-12) / max(1 - float(parent[symbol].sum()), 1e-12)
-    out = parent * rest
-    out[symbol] = p
-    return out, rest, symbol, p
+        level, kept = _level(cells.where(F.col("k") == k).drop("k"), level, s)
+        found.append(level)
+        states.append(kept)
+    every = [x.select("hash", "n", "extra") for x in found] + [x.select(F.col("context").alias("hash"), F.lit(0).cast("long").alias("n"), F.col("rest").alias("extra")) for x in states]
+    entries = every[0]
+    for x in every[1:]:
+        entries = entries.unionByName(x)
+    entries = _written(entries.groupBy("hash").agg(F.max("n").alias("n"), F.sum("extra").alias("extra")), "suffix-entries")
+    # at most 1 / cache of each length
+    near = entries.where(F.col("n") >= max(s.cache * total, s.least_next)).toPandas()
+    h = near["hash"].to_numpy(np.int64).view(B.U64)
+    order = np.argsort(h)
+    return Model(s, total, distinct, counts, entries, states, h[order], near["n"].to_numpy(np.int64)[order], near["extra"].to_numpy(np.float64)[order])
 
 
 # --- scoring --------------------------------------------------------------
 
-_STATIC = np.dtype([("row", np.int64), ("doc", np.int64), ("null", np.int64), ("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64)])
-_SENT = "part int, ids binary, sizes binary, hashes binary, times binary, at_root binary, static binary"
+_STATIC = np.dtype([("row", np.int64), ("doc", np.int64), ("null", np.int64), ("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("extra", np.float64)])
+_SENT = "part int, ids binary, sizes binary, hashes binary, static binary"
 #: Partial sums of a text: known tokens, the base score and what the score differs from it.
-_SUM = np.dtype([("row", np.int64), ("known", np.int64), ("base", np.float64), ("more", np.float64)])
+_SUM = np.dtype([("row", np.int64), ("known", np.int64), ("base", np.float64), ("extra", np.float64)])
 _PARTIAL = "part int, sums binary, static binary"
 _TOTAL = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scored(batches, m: Model, parts: int):
-    """Sums over the tokens whose probability is known here (a static row per
-    text), and the rare words of each text by destination."""
+@dataclass
+class _Near:
+    """What is broadcast of a model."""
+
+    depth: int
+    log_total: float
+    hash: np.ndarray
+    count: np.ndarray
+    extra: np.ndarray
+
+
+def _scored(batches, m: _Near, parts: int):
+    """Sums over the runs of tokens that are known here (a static row per
+    text), and the other runs of each text by destination."""
     log_word = np.log10(m.count + 1.0)
     row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
     kinds = [c.split(" ")[0] for c in _SENT.split(", ")]
@@ -380,43 +367,29 @@ def _scored(batches, m: Model, parts: int):
             t, n = Tokens(part, o), b - a
             rows = row + np.arange(n)
             row += n
-            at = _find(m.word, t.hash)
-            here = at >= 0
-            own = np.where(here, log_word[at] if len(log_word) else 0.0, 0.0)  # rare words add theirs elsewhere
-            log = np.zeros(len(t.hash))
-            open_ = np.ones(len(t.hash), bool)
-            contexts = t.contexts(len(m.levels)) if m.levels else []
-            for level, context in zip(m.levels[::-1], contexts[::-1], strict=True):
-                state = _find(level.state, context)
-                on = np.flatnonzero(open_ & (state >= 0) & (context != 0))
-                if not len(on):
-                    continue
-                pair = _find(level.pair, _follow(context[on], t.hash[on]))
-                hit = pair >= 0
-                log[on[hit]] += level.log[pair[hit]]
-                open_[on[hit]] = False
-                log[on[~hit]] += level.rest[state[on[~hit]]]
-            log += np.where(open_, own - m.log_total, 0.0)
             tokens = np.diff(t.first)
             static = np.zeros(n, _STATIC)
             static["row"], static["doc"], static["null"], static["tokens"] = rows, ids[a:b], null[a:b], tokens
-            static["known"] = np.bincount(t.doc, here, n)
-            static["base"] = np.bincount(t.doc, own, n) - tokens * m.log_total
-            static["score"] = np.bincount(t.doc, log, n)
-            none = pa.array([b""], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([int(rows[0]) // 7 % parts], pa.int32()), *[none] * 5, pa.array([static.tobytes()], pa.binary())], names=kinds)
-            rare = np.flatnonzero(~here)
-            if not len(rare):
+            static["base"] = -tokens * m.log_total
+            far, far_doc = [], []
+            for k, gram in enumerate(t.grams(m.depth + 1)):
+                on = np.flatnonzero(t.place >= k)
+                gram, doc = gram[on], t.doc[on]
+                at = _find(m.hash, gram)
+                here = at >= 0
+                if k == 0:
+                    static["known"] = np.bincount(doc, here, n)
+                    static["base"] += np.bincount(doc[here], log_word[at[here]], n)
+                static["extra"] += np.bincount(doc[here], m.extra[at[here]], n)
+                far.append(gram[~here])
+                far_doc.append(doc[~here])
+            yield pa.RecordBatch.from_arrays([pa.array([int(rows[0]) // 7 % parts], pa.int32()), *[pa.array([b""], pa.binary())] * 3, pa.array([static.tobytes()], pa.binary())], names=kinds)
+            h, doc = np.concatenate(far), np.concatenate(far_doc)
+            if not len(h):
                 continue
-            h, doc = t.hash[rare], t.doc[rare]
             place = _place(h, parts)
-            order = np.lexsort((h, doc, place))
-            h, doc, place, root = h[order], doc[order], place[order], open_[rare][order]
-            new = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(h))).astype(np.uint32)
-            at_root = np.add.reduceat(root.astype(np.uint32), first, dtype=np.uint32)
-            h, doc, place = h[first], doc[first], place[first]
+            order = np.argsort(place * n + doc, kind="stable")
+            h, doc, place = h[order], doc[order], place[order]
             entry = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])]))
             sizes = np.diff(np.append(entry, len(h))).astype(np.uint32)
             dest = np.flatnonzero(np.concatenate([[True], place[entry][1:] != place[entry][:-1]]))
@@ -426,25 +399,29 @@ def _scored(batches, m: Model, parts: int):
             def binary(x, cut):
                 return pa.Array.from_buffers(pa.binary(), len(dest), [None, pa.py_buffer((cut * x.dtype.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
 
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(place[entry][dest], pa.int32()), binary(rows[doc[entry]], ends), binary(sizes, ends), binary(h, cuts), binary(times, cuts),
-                 binary(at_root, cuts), pa.array([b""] * len(dest), pa.binary())], names=kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(place[entry][dest], pa.int32()), binary(rows[doc[entry]], ends), binary(sizes, ends), binary(h, cuts), pa.array([b""] * len(dest), pa.binary())], names=kinds)
 
 
-def _looked_up(sent: pa.Table, counts: pa.Table, parts: int) -> pa.Table:
-    """Partial sums of a destination: rare words meet their counts. They go on
-    packed by destination of their texts, so rows do not multiply."""
-    word, n = _whole(counts, "hashes", B.U64), _whole(counts, "counts", np.int64)
-    at = _find(word, _whole(sent, "hashes", B.U64))
+def _looked_up(sent: pa.Table, table: pa.Table, parts: int) -> pa.Table:
+    """Partial sums of a destination: runs of tokens meet their numbers. They go
+    on packed by destination of their texts, so rows do not multiply."""
+    word, n = _whole(table, "hashes", B.U64), _whole(table, "counts", np.int64)
+    run, extra = table.column("hash").to_numpy(), table.column("extra").to_numpy()
+    run, extra = run[~np.isnan(extra)].astype(np.int64).view(B.U64), extra[~np.isnan(extra)]
+    order = np.argsort(run)
+    run, extra = run[order], extra[order]
+    h = _whole(sent, "hashes", B.U64)
+    at = _find(word, h)
     c = np.where(at >= 0, n[at] if len(n) else 0, 0)
-    times, at_root = _whole(sent, "times", np.uint32).astype(np.int64), _whole(sent, "at_root", np.uint32).astype(np.int64)
+    at = _find(run, h)
+    more = np.where(at >= 0, extra[at] if len(run) else 0.0, 0.0)
     rows, sizes = _whole(sent, "ids", np.int64), _whole(sent, "sizes", np.uint32).astype(np.int64)
     each = np.repeat(np.arange(len(rows)), sizes)
-    log = np.log10(c + 1.0)
     sums = np.zeros(len(rows), _SUM)
-    sums["row"], sums["known"] = rows, np.bincount(each, times * (c > 0), len(rows))
-    sums["base"] = np.bincount(each, times * log, len(rows))
-    sums["more"] = np.bincount(each, at_root * log, len(rows)) - sums["base"]
+    sums["row"], sums["known"] = rows, np.bincount(each, c > 0, len(rows))
+    sums["base"] = np.bincount(each, np.log10(c + 1.0), len(rows))
+    sums["extra"] = np.bincount(each, more, len(rows))
+    sums = sums[(sums["known"] > 0) | (sums["extra"] != 0)]
     static = _whole(sent, "static", _STATIC)
     out = []
     for name, x in (("sums", sums), ("static", static)):
@@ -466,9 +443,9 @@ def _added(group: pa.Table) -> pa.Table:
     at = np.searchsorted(static["row"], sums["row"])
     n = len(static)
     base = static["base"] + np.bincount(at, sums["base"], n)
-    more = static["score"] - static["base"] + np.bincount(at, sums["more"], n)
+    extra = static["extra"] + np.bincount(at, sums["extra"], n)
     known = static["known"] + np.bincount(at, sums["known"], n).astype(np.int64)
-    return pa.table([pa.array(static["doc"], mask=static["null"] != 0), pa.array(static["tokens"]), pa.array(known), pa.array(base), pa.array(base + more)],
+    return pa.table([pa.array(static["doc"], mask=static["null"] != 0), pa.array(static["tokens"]), pa.array(known), pa.array(base), pa.array(base + extra)],
                     names=[c.split(" ")[0] for c in _TOTAL.split(", ")])
 
 
@@ -478,9 +455,13 @@ def score_texts(docs: DataFrame, teach, s: Settings = Settings(), text: str = "t
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", F.coalesce(teach, F.lit(False)).alias("teach"), "text")
     parts = max(spread(docs.sparkSession), min(text_bytes(docs) // (8 << 20), 1 << 16))
-    model, counts = learn(rows, s, parts)
-    sent = rows.mapInArrow(lambda it: _scored(it, model, parts), _SENT)
-    table = counts.select(F.col("part").alias("of"), "hashes", "counts")
+    model = learn(rows, s, parts)
+    near = _Near(s.depth, model.log_total, model.hash, model.count, model.extra)
+    sent = rows.mapInArrow(lambda it: _scored(it, near, parts), _SENT)
+    none, nan = F.lit(b""), F.lit(float("nan"))
+    # runs of tokens that change no score need no row
+    far = model.entries.where("extra <> 0").select(F.expr(f"cast((hash & 2147483647) % {parts} as int)").alias("of"), none.alias("hashes"), none.alias("counts"), "hash", "extra")
+    table = model.counts.select(F.col("part").alias("of"), "hashes", "counts", F.lit(0).cast("long").alias("hash"), nan.alias("extra")).unionByName(far)
     partial = sent.groupBy("part").cogroup(table.groupBy("of")).applyInArrow(lambda a, b: _looked_up(a, b, parts), _PARTIAL)
     return (partial.groupBy("part").applyInArrow(_added, _TOTAL)
             .select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"))

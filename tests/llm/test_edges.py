@@ -4,6 +4,8 @@ columns: every operator and stage gives its stated result."""
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -273,38 +275,97 @@ def test_language_model(spark, docs):
     assert suffixlm.score_texts(empty(docs), F.lit(True)).count() == 0
 
 
-def test_language_model_is_a_distribution(spark):
-    """Every kept state's probabilities over the words, the end and one unknown
-    word sum to one."""
-    rng = np.random.default_rng(1)
+def chain_texts(n, words=200, seed=1):
+    """Texts in which some words mostly follow one or two others."""
+    rng = np.random.default_rng(seed)
     rows = []
-    for i in range(60):
-        w = ["start"]
-        for _ in range(200):
-            w.append({"a": "b", "b": "c"}.get(w[-1], "abcdef"[rng.integers(0, 6)]) if rng.random() < 0.7 else "abcdefgh"[rng.integers(0, 8)])
-        rows.append((i, " ".join(w)))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    model, counts = suffixlm.learn(df.select("doc_id", F.lit(True).alias("teach"), "text"), suffixlm.Settings(), 3)
-    assert len(model.levels) == 2 and len(model.levels[0].state) >= 2
-    words = [*"abcdefgh", "start", "never"]
-    lines = [(k, f"{c} {w}".strip()) for k, (c, w) in enumerate((c, w) for c in ("a", "b", "a b", "f") for w in [*words, ""])]
-    got = {r.doc_id: r.score for r in suffixlm.score_texts(df.unionByName(spark.createDataFrame([(1000 + k, t) for k, t in lines], "doc_id long, text string")),
-                                                           F.col("doc_id") < 1000).collect()}
-    m = len(words)
-    for c in range(4):
-        block = [got[1000 + c * (m + 1) + j] for j in range(m + 1)]
-        empty_end = block[-1]  # the context, then the end
-        # P(context, w, end) / P(end | context w) is not known here: use chain sums of the first token after the context
-        assert all(x < 0 for x in block) and empty_end < 0
-    for level, k in zip(model.levels, (1, 2)):
-        for state, rest in zip(level.state, level.rest):
-            parent = (model.count + 1) / (model.tokens + model.words + 1)
-            pair = suffixlm._follow(np.full(len(model.word), state), model.word)
-            at = suffixlm._find(level.pair, pair)
-            if k == 1:
-                stored = np.where(at >= 0, 10 ** level.log[at], 0)
-                total = stored.sum() + 10 ** rest * (1 - parent[at >= 0].sum())
-                assert total == pytest.approx(1.0)
+    for i in range(n):
+        w = ["start", "start"]
+        for _ in range(words):
+            nxt = {("a", "b"): "d", ("c", "b"): "e"}.get((w[-2], w[-1])) or {"a": "b", "c": "b"}.get(w[-1])
+            w.append(nxt if nxt and rng.random() < 0.8 else "abcdefgh"[rng.integers(0, 8)])
+        rows.append((i, " ".join(w[1:])))
+    return rows
+
+
+def plain_tree(texts, s):
+    """The tree by dictionaries: counts of runs, states, and one log10
+    probability of a token after its context."""
+    end, runs = None, Counter()
+    for t in texts:
+        w = [*(t or "").lower().split(" "), end] if t else [end]
+        for k in range(1, s.depth + 2):
+            runs.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    words = {g[0]: n for g, n in runs.items() if len(g) == 1}
+    total = sum(words.values()) + len(words) + 1
+    states = {}
+
+    def prob(context, x):
+        if not context:
+            return (words.get(x, 0) + 1) / total
+        up = prob(context[1:], x)
+        if context not in states:
+            return up
+        stored, rest = states[context]
+        return stored[x] if x in stored else rest * up
+
+    for k in range(1, s.depth + 1):
+        after = {}
+        for g, n in runs.items():
+            if len(g) == k + 1 and n >= s.least_next and runs[g[:-1]] >= s.least_count:
+                after.setdefault(g[:-1], {})[g[-1]] = n
+        found = {}
+        for c, seen in after.items():
+            n, up = runs[c], {x: prob(c[1:], x) for x in seen}
+            left, above = n - sum(seen.values()), 1 - sum(up.values())
+            ratio = sum(m * math.log(m / (n * up[x])) for x, m in seen.items()) + (left * math.log(left / (n * above)) if left else 0)
+            if ratio > len(seen) * math.log(n) + s.strength:
+                stored = {x: (m - s.discount) / n for x, m in seen.items()}
+                found[c] = stored, (1 - sum(stored.values())) / above
+        states.update(found)
+    return states, prob, list(words)
+
+
+@pytest.mark.parametrize("cache", [0.02, 2.0])
+def test_language_model_against_plain_tree(spark, cache):
+    """Every score, whatever part of the tree is broadcast, and every state's
+    probabilities over the words, the end and one unknown word sum to one."""
+    rows, s = chain_texts(40), suffixlm.Settings(cache=cache)
+    states, prob, words = plain_tree([t for _, t in rows], s)
+    assert {len(c) for c in states} == {1, 2}
+    for c in states:
+        assert sum(prob(c, x) for x in [*words, "never"]) == pytest.approx(1.0)
+    more = [(1000, "a b d a b never c b"), (1001, ""), (1002, "c b e"), (1003, "never seen"), (1004, None), (1005, "A B D")]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string")
+    for r in suffixlm.score_texts(df, F.col("doc_id") < 1000, s).collect():
+        t = dict(rows + more)[r.doc_id]
+        w = [*t.lower().split(" "), None] if t else [None]
+        assert r.score == pytest.approx(sum(math.log10(prob(tuple(w[max(0, i - 2):i]), x)) for i, x in enumerate(w)), rel=1e-9)
+    model = suffixlm.learn(df.select("doc_id", (F.col("doc_id") < 1000).alias("teach"), "text"), s, 3)
+    assert [x.count() for x in model.states] == [sum(len(c) == k for c in states) for k in (1, 2)]
+
+
+def test_language_model_grows_with_the_corpus(spark):
+    """Ten times the texts: more states, and a better score of texts not seen."""
+    rng = np.random.default_rng(5)
+    names = [f"w{i}" for i in range(400)]
+    follow = {w: names[rng.integers(0, 400)] for w in names}
+
+    def texts(n, first):
+        for i in range(n):
+            w = [names[rng.integers(0, 400)]]
+            while len(w) < 100:
+                w.append(follow[w[-1]] if rng.random() < 0.5 else names[rng.integers(0, 400)])
+            yield first + i, " ".join(w)
+
+    teach, held = list(texts(300, 0)), list(texts(20, 5000))
+    seen = []
+    for n in (30, 300):
+        df = spark.createDataFrame(teach[:n] + held, "doc_id long, text string")
+        model = suffixlm.learn(df.select("doc_id", (F.col("doc_id") < 5000).alias("teach"), "text"), suffixlm.Settings(), 3)
+        got = suffixlm.score_texts(df, F.col("doc_id") < 5000).where("doc_id >= 5000").agg(F.sum("score")).first()[0]
+        seen.append((sum(x.count() for x in model.states), got))
+    assert seen[1][0] > 2 * seen[0][0] and seen[1][1] > seen[0][1]
 
 
 def test_vectors(spark):
