@@ -119,12 +119,12 @@ class Tokens:
         return out
 
 
-def _taught(batches):
+def _taught(batches, size: int = B.CHUNK_BYTES):
     """Tokens of chunks of the texts that may teach."""
     for batch in batches:
         batch = batch.filter(batch.column(1))
         data, offs = B.text_buffers(batch.column(2))
-        for _, _, part, o in B.chunks(data, offs):
+        for _, _, part, o in B.chunks(data, offs, size):
             yield Tokens(part, o)
 
 
@@ -222,7 +222,7 @@ def _packed_cells(k: int, c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: in
     """A row per destination; each context is written once in it. A context is
     dealt over 16 destinations, as one word may come before a third of all."""
     part = _place(B.mix64(c + (s & B.U64(15)) * _GOLD), parts)
-    order = np.lexsort((c, part))
+    order = np.argsort((part.astype(B.U64) << B.U64(40)) | (B.mix64(c) >> B.U64(24)))  # equal contexts of a destination side by side
     part, c, s, n = part[order], c[order], s[order], n[order]
     new = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (part[1:] != part[:-1])]))
     sizes, head, of = np.diff(np.append(new, len(c))).astype(np.uint32), c[new], part[new]
@@ -237,7 +237,7 @@ def _packed_cells(k: int, c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: in
                                       names=[x.split(" ")[0] for x in _CELLS.split(", ")])
 
 
-def _cells(batches, depth: int, parts: int, most: int = 3_000_000):
+def _cells(batches, depth: int, parts: int, most: int = 500_000):
     """Contexts of each length with the suffix that their next symbol makes,
     added up in the task before they are sent."""
     held = {k: ([], [], []) for k in range(1, depth + 1)}
@@ -251,13 +251,12 @@ def _cells(batches, depth: int, parts: int, most: int = 3_000_000):
         else:
             held[k] = ([c], [s], [n])
 
-    for t in _taught(batches):
+    for t in _taught(batches, 1 << 20):
         grams = t.grams(depth)
         for k in range(1, depth + 1):
             at = np.flatnonzero(t.place >= k)
             if len(at):
-                c, s, n, _ = _merge_cells(grams[k - 1][at - 1], grams[k - 1][at], np.ones(len(at), np.int64))
-                for x, y in zip(held[k], (c, s, n), strict=True):
+                for x, y in zip(held[k], (grams[k - 1][at - 1], grams[k - 1][at], np.ones(len(at), np.int64)), strict=True):
                     x.append(y)
                 if sum(map(len, held[k][0])) > most:
                     yield from flush(k, most // 2)
@@ -388,7 +387,7 @@ def _scored(batches, m: _Near, parts: int):
             if not len(h):
                 continue
             place = _place(h, parts)
-            order = np.argsort(place * n + doc, kind="stable")
+            order = np.argsort(place * n + doc)
             h, doc, place = h[order], doc[order], place[order]
             entry = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])]))
             sizes = np.diff(np.append(entry, len(h))).astype(np.uint32)
