@@ -23,8 +23,10 @@ one number, and the score of a text is the sum over its own.
 States, symbols and counts stay in tables partitioned by hash. Texts send their
 words, pairs and triples, packed by destination, to where the numbers are, and
 get back partial sums. Those that make up ``cache`` of all tokens (at most
-``1 / cache`` of each length) are broadcast and need not be sent; this changes
-no result.
+``1 / cache`` of each length) are broadcast and need not be sent. Neither need
+what a sieve shows to be no context, symbol or entry: a bit for each remainder
+of a hash, ``2 ** sieve`` bits at any size, so that large tables fill it and it
+keeps less away. Both spare traffic only and change no result.
 
 Defined results: a null or empty text is its end alone; repeated rows are
 scored (and taught) each for itself; rows with a null id are scored but never
@@ -61,6 +63,7 @@ class Settings:
     discount: float = 0.5
     strength: float = 4.0     # nats
     cache: float = 1e-6       # share of the tokens; says only what is broadcast
+    sieve: int = 24           # log2 of its bits; spares traffic only
 
 
 @dataclass
@@ -70,6 +73,7 @@ class Model:
     words: int                # V
     counts: DataFrame         # all words' counts, a packed row per destination
     entries: DataFrame        # (hash, n, extra) of every stored word, pair, triple
+    sieve: np.ndarray         # of the entries whose extra is not 0
     states: list[DataFrame]   # per length (context, c, rest): kept contexts
     hash: np.ndarray          # those that are broadcast, sorted
     count: np.ndarray
@@ -88,6 +92,23 @@ def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(table[at] == x, at, -1)
 
 
+def _sieve(table: DataFrame, bits: int) -> np.ndarray:
+    """The bits that the column ``hash`` sets; its high ``bits`` bits say which.
+    At most a row of 64 bits each comes to the driver."""
+    slot = F.shiftrightunsigned("hash", 64 - bits)
+    got = (table.select(F.shiftright(slot, 6).alias("at"), F.expr("1L << cast(" + f"shiftrightunsigned(hash, {64 - bits}) & 63 as int)").alias("bit"))
+           .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas())
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out.view(B.U64)
+
+
+def _may_be(sieve: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """False where x is surely not in the table of the sieve."""
+    slot = x >> B.U64(64 - 6 - (len(sieve).bit_length() - 1))
+    return (sieve[slot >> B.U64(6)] >> (slot & B.U64(63))) & B.U64(1) != 0
+
+
 def _follow(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return B.mix64(context * _GOLD + symbol)
 
@@ -205,8 +226,8 @@ def _large(batches, least: int):
 
 # --- runs of tokens: a context and its next symbol ------------------------
 
-_CELLS = "k int, part int, contexts binary, sizes binary, suffixes binary, counts binary"
-_STORED = "k int, context long, suffix long, key long, n long"
+_CELLS = "part int, contexts binary, sizes binary, suffixes binary, counts binary"
+_STORED = "context long, suffix long, key long, n long"
 
 
 def _merge_cells(c: np.ndarray, s: np.ndarray, n: np.ndarray):
@@ -218,7 +239,7 @@ def _merge_cells(c: np.ndarray, s: np.ndarray, n: np.ndarray):
     return c[order[at]], s[order[at]], np.add.reduceat(n[order], at) if len(at) else n, key[at]
 
 
-def _packed_cells(k: int, c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+def _packed_cells(c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
     """A row per destination; each context is written once in it. A context is
     dealt over 16 destinations, as one word may come before a third of all."""
     part = _place(B.mix64(c + (s & B.U64(15)) * _GOLD), parts)
@@ -233,36 +254,29 @@ def _packed_cells(k: int, c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: in
     def binary(x, cut):
         return pa.Array.from_buffers(pa.binary(), len(dest), [None, pa.py_buffer((cut * x.dtype.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
 
-    return pa.RecordBatch.from_arrays([pa.array([k] * len(dest), pa.int32()), pa.array(of[dest], pa.int32()), binary(head, ends), binary(sizes, ends), binary(s, cuts), binary(n.astype(np.uint32), cuts)],
+    return pa.RecordBatch.from_arrays([pa.array(of[dest], pa.int32()), binary(head, ends), binary(sizes, ends), binary(s, cuts), binary(n.astype(np.uint32), cuts)],
                                       names=[x.split(" ")[0] for x in _CELLS.split(", ")])
 
 
-def _cells(batches, depth: int, parts: int, most: int = 500_000):
-    """Contexts of each length with the suffix that their next symbol makes,
-    added up in the task before they are sent."""
-    held = {k: ([], [], []) for k in range(1, depth + 1)}
-
-    def flush(k, least):
-        c, s, n = (np.concatenate(x) for x in held[k])
-        c, s, n, _ = _merge_cells(c, s, n)
-        if len(c) > least:
-            held[k] = ([], [], [])
-            yield _packed_cells(k, c, s, n, parts)
-        else:
-            held[k] = ([c], [s], [n])
-
+def _cells(batches, k: int, parts: int, contexts: np.ndarray, suffixes: np.ndarray, most: int = 500_000):
+    """Contexts of k words with the suffix that their next symbol makes, added
+    up in the task before they are sent; none that the sieves keep away."""
+    held, size = [], 0
     for t in _taught(batches, 1 << 20):
-        grams = t.grams(depth)
-        for k in range(1, depth + 1):
-            at = np.flatnonzero(t.place >= k)
-            if len(at):
-                for x, y in zip(held[k], (grams[k - 1][at - 1], grams[k - 1][at], np.ones(len(at), np.int64)), strict=True):
-                    x.append(y)
-                if sum(map(len, held[k][0])) > most:
-                    yield from flush(k, most // 2)
-    for k in held:
-        if held[k][0]:
-            yield from flush(k, 0)
+        gram = t.grams(k)[-1]
+        at = np.flatnonzero(t.place >= k)
+        at = at[_may_be(suffixes, gram[at])]
+        at = at[_may_be(contexts, gram[at - 1])]
+        held.append((gram[at - 1], gram[at], np.ones(len(at), np.int64)))
+        size += len(at)
+        if size > most:
+            c, s, n, _ = _merge_cells(*map(np.concatenate, zip(*held, strict=True)))
+            held, size = [(c, s, n)], len(c)
+            if size > most // 2:
+                yield _packed_cells(c, s, n, parts)
+                held, size = [], 0
+    if size:
+        yield _packed_cells(*_merge_cells(*map(np.concatenate, zip(*held, strict=True)))[:3], parts)
 
 
 def _stored(group: pa.Table, least: int) -> pa.Table:
@@ -270,8 +284,7 @@ def _stored(group: pa.Table, least: int) -> pa.Table:
     c = np.repeat(_whole(group, "contexts", B.U64), _whole(group, "sizes", np.uint32))
     c, s, n, key = _merge_cells(c, _whole(group, "suffixes", B.U64), _whole(group, "counts", np.uint32).astype(np.int64))
     keep = n >= least
-    k = pa.array(np.full(int(keep.sum()), group.column("k")[0].as_py()), pa.int32())
-    return pa.table([k, *(pa.array(x[keep].view(np.int64)) for x in (c, s, key, n))], names=[x.split(" ")[0] for x in _STORED.split(", ")])
+    return pa.table([pa.array(x[keep].view(np.int64)) for x in (c, s, key, n)], names=[x.split(" ")[0] for x in _STORED.split(", ")])
 
 
 # --- learning -------------------------------------------------------------
@@ -311,12 +324,14 @@ def learn(docs: DataFrame, s: Settings, parts: int) -> Model:
     counts = cut_lineage(docs.mapInArrow(lambda it: _counted((t.hash for t in _taught(it)), parts), _COUNTS).groupBy("part").applyInArrow(_summed, _COUNTS))
     size = counts.mapInArrow(_totals, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     total, distinct = int(size[0] or 0), int(size[1] or 0)
-    cells = _written(docs.mapInArrow(lambda it: _cells(it, s.depth, parts), _CELLS).groupBy("k", "part").applyInArrow(lambda g: _stored(g, s.least_next), _STORED), "suffix-cells")
     words = counts.mapInArrow(lambda it: _large(it, s.least_next), "hash long, n long")
     level = words.withColumn("logp", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))).withColumn("extra", F.lit(0.0))
     found, states = [level], []
     for k in range(1, s.depth + 1):
-        level, kept = _level(cells.where(F.col("k") == k).drop("k"), level, s)
+        contexts, suffixes = (_sieve(level.where(F.col("n") >= n), s.sieve) for n in (s.least_count, s.least_next))
+        cells = (docs.mapInArrow(lambda it, k=k, a=contexts, b=suffixes: _cells(it, k, parts, a, b), _CELLS)
+                 .groupBy("part").applyInArrow(lambda g: _stored(g, s.least_next), _STORED))
+        level, kept = _level(_written(cells, "suffix-cells"), level, s)
         found.append(level)
         states.append(kept)
     every = [x.select("hash", "n", "extra") for x in found] + [x.select(F.col("context").alias("hash"), F.lit(0).cast("long").alias("n"), F.col("rest").alias("extra")) for x in states]
@@ -328,7 +343,8 @@ def learn(docs: DataFrame, s: Settings, parts: int) -> Model:
     near = entries.where(F.col("n") >= max(s.cache * total, s.least_next)).toPandas()
     h = near["hash"].to_numpy(np.int64).view(B.U64)
     order = np.argsort(h)
-    return Model(s, total, distinct, counts, entries, states, h[order], near["n"].to_numpy(np.int64)[order], near["extra"].to_numpy(np.float64)[order])
+    sieve = _sieve(entries.where("extra <> 0"), s.sieve)
+    return Model(s, total, distinct, counts, entries, sieve, states, h[order], near["n"].to_numpy(np.int64)[order], near["extra"].to_numpy(np.float64)[order])
 
 
 # --- scoring --------------------------------------------------------------
@@ -347,6 +363,7 @@ class _Near:
 
     depth: int
     log_total: float
+    sieve: np.ndarray
     hash: np.ndarray
     count: np.ndarray
     extra: np.ndarray
@@ -380,8 +397,9 @@ def _scored(batches, m: _Near, parts: int):
                     static["known"] = np.bincount(doc, here, n)
                     static["base"] += np.bincount(doc[here], log_word[at[here]], n)
                 static["extra"] += np.bincount(doc[here], m.extra[at[here]], n)
-                far.append(gram[~here])
-                far_doc.append(doc[~here])
+                away = ~here if k == 0 else ~here & _may_be(m.sieve, gram)  # words have counts too
+                far.append(gram[away])
+                far_doc.append(doc[away])
             yield pa.RecordBatch.from_arrays([pa.array([int(rows[0]) // 7 % parts], pa.int32()), *[pa.array([b""], pa.binary())] * 3, pa.array([static.tobytes()], pa.binary())], names=kinds)
             h, doc = np.concatenate(far), np.concatenate(far_doc)
             if not len(h):
@@ -455,7 +473,7 @@ def score_texts(docs: DataFrame, teach, s: Settings = Settings(), text: str = "t
     rows = rows.select("doc_id", F.coalesce(teach, F.lit(False)).alias("teach"), "text")
     parts = max(spread(docs.sparkSession), min(text_bytes(docs) // (8 << 20), 1 << 16))
     model = learn(rows, s, parts)
-    near = _Near(s.depth, model.log_total, model.hash, model.count, model.extra)
+    near = _Near(s.depth, model.log_total, model.sieve, model.hash, model.count, model.extra)
     sent = rows.mapInArrow(lambda it: _scored(it, near, parts), _SENT)
     none, nan = F.lit(b""), F.lit(float("nan"))
     # runs of tokens that change no score need no row
