@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 # Word pattern (Unicode letters, digits, underscore).
 WORD_RE = r"[\p{L}\p{N}_]+"
 
+# The white space that trimming takes (E8, K5), the Unicode
+# spaces and the four separator controls; a bare ``s`` class is ASCII.
+SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+TRIM_RE = f"^{SPACE}+|{SPACE}+$"
+
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_ws(c) -> Column:
-    """Trim whitespace on both ends (``trim`` alone only drops spaces)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Trim Unicode whitespace on both ends (``trim`` alone only drops spaces)."""
+    return F.regexp_replace(col_(c), TRIM_RE, "")
 
 
 def word_tokens(c) -> Column:

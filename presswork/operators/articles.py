@@ -56,6 +56,20 @@ def offtopic_keywords(rejected: DataFrame, n: int = 30, outlets: int = 3,
             .filter(F.col("outlets") >= outlets).select(keyword))
 
 
+def number_rows(df: DataFrame, key: str, order: str, out: str = "id", block: int = 1 << 16) -> DataFrame:
+    """E18 for keys of any size: zero-based positions within ``key`` by the
+    integer column ``order``, whose values are unique. No task orders a whole
+    key: rows are numbered within blocks of ``block`` values of ``order``, and
+    only the counts of these blocks are summed up a key."""
+    b = df.withColumn("_block", F.floor(F.col(order) / block))
+    before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (b.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+              .select(key, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    inside = F.row_number().over(Window.partitionBy(key, "_block").orderBy(order)) - 1
+    return (b.withColumn("_at", inside).join(starts, [key, "_block"])
+            .withColumn(out, (F.col("_start") + F.col("_at")).cast("string")).drop("_block", "_at", "_start"))
+
+
 def assign_ids(df: DataFrame, prefix: str, order: Sequence, offset: int = 0,
                partition: Sequence = (), id_col: str = "type_id",
                pos_col: str | None = None) -> DataFrame:
@@ -81,11 +95,13 @@ def slot_of(pos, size: int) -> Column:
 
 
 def upsert(new: DataFrame, old: DataFrame, keys: Sequence[str],
-           version: str = "_version") -> DataFrame:
-    """Keyed upsert, last write wins (rows of ``new`` replace equal keys)."""
+           version: str = "_version", order: Sequence = ()) -> DataFrame:
+    """Keyed upsert, last write wins (rows of ``new`` replace equal keys).
+    Of rows that share a key on one side the first in ``order`` stays; without
+    an order, keys must be unique on each side or any of the rows stays."""
     both = (old.withColumn(version, F.lit(0))
             .unionByName(new.withColumn(version, F.lit(1)), allowMissingColumns=True))
-    w = Window.partitionBy(*keys).orderBy(F.desc(version))
+    w = Window.partitionBy(*keys).orderBy(F.desc(version), *_cols(order))
     return (both.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn", version))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork.functions import clean_rules as R
+from presswork.functions.text import strip_ws
 
 
 def _c(c) -> Column:
@@ -25,7 +26,7 @@ def normalise_ws(c) -> Column:
     t = F.replace(_c(c), F.lit(R.SCRIPT_NOISE), F.lit(""))
     for lit in ("\n", "\r", "<br>", "\t"):
         t = F.replace(t, F.lit(lit), F.lit(""))
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+    return strip_ws(t)
 
 
 def final_spaces(c) -> Column:
@@ -163,16 +164,23 @@ def empty_to_null(c) -> Column:
 
 
 def clean_body(df, c: str, outlet: str | None = None, extra_rules: Sequence[tuple] = (),
-               out: str = "cleaned"):
+               out: str = "cleaned", symbols_last: bool = False):
     """E8-E14 in the original order on column ``c``; ``extra_rules`` (for
     example corpus rules) run after the outlet rules. Steps are materialised
-    as columns so no expression repeats its input."""
+    as columns so no expression repeats its input.
+
+    In the original order the symbols go before the outlet rules, so rules for
+    bracketed signatures meet no bracket and are dead. ``symbols_last`` is the
+    second order: the same rules with the symbols taken out after them."""
     df = df.withColumn("_clean", normalise_ws(c))
     df = guarded_steps(df, "_clean", R.GENERIC_RULES)
-    df = df.withColumn("_clean", strip_symbols("_clean"))
+    if not symbols_last:
+        df = df.withColumn("_clean", strip_symbols("_clean"))
     df = guarded_steps(df, "_clean", R.UNCONDITIONAL_RULES)
     if outlet is not None:
         df = df.withColumn("_clean", by_outlet("_clean", outlet, R.OUTLET_RULES))
+    if symbols_last:
+        df = df.withColumn("_clean", strip_symbols("_clean"))
     if extra_rules:
         df = df.withColumn("_clean", by_outlet("_clean", outlet, extra_rules) if outlet
                            else apply_rules(F.col("_clean"), extra_rules))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.operators.articles import drop_repeats, quota
+from presswork.session import cut_lineage
+from presswork.operators.articles import drop_keys, drop_repeats, quota
 
 
 def base_keywords(keywords: DataFrame) -> DataFrame:
@@ -17,6 +18,15 @@ def base_keywords(keywords: DataFrame) -> DataFrame:
     return keywords.filter(~F.col("type_id").contains("MIX"))
 
 
+def daily_base_keywords(keywords: DataFrame) -> DataFrame:
+    """M1 for every day: ``(date, type_id, keyword, kpos)`` from the keyword table
+    ``(date, type_id, value)``. Positions follow the ids, so DAY words stand
+    before FIX words. A word listed twice on a day counts under its first id."""
+    k = base_keywords(keywords).groupBy("date", F.col("value").alias("keyword")).agg(F.min("type_id").alias("type_id"))
+    w = Window.partitionBy("date").orderBy("type_id")
+    return k.select("date", "type_id", "keyword", (F.row_number().over(w) - 1).alias("kpos"))
+
+
 def contains_join(articles: DataFrame, keywords: DataFrame, content: str = "content") -> DataFrame:
     """M3: article x keyword where the body contains the keyword.
 
@@ -53,6 +63,27 @@ def retrieved(articles: DataFrame, keywords: DataFrame, n: int = 30) -> DataFram
     found = articles.filter(content.isNotNull()).select(
         "date", "agency", "id", F.col("thumbnail").isNull().alias("bare"), F.sha2(content.cast("binary"), 256).alias("digest"),
         "content", listed.alias("listed"))
+    return _accepted(found, n)
+
+
+#: Days whose keyword lists (a few dozen words each) are sent to every executor.
+MAX_DAYS = 20_000
+
+
+def daily_retrieved(articles: DataFrame, keywords: DataFrame, n: int = 30) -> DataFrame:
+    """``retrieved`` with each day's own list: ``keywords`` are ``(date, keyword,
+    kpos)``. The lists are broadcast as one row a day where there are at most
+    ``MAX_DAYS`` of them (counted), else joined by date."""
+    lists = cut_lineage(keywords.groupBy("date").agg(F.array_sort(F.collect_list(F.struct("kpos", "keyword"))).alias("listed")))
+    few = lists.limit(MAX_DAYS + 1).count() <= MAX_DAYS
+    found = articles.filter(F.col("content").isNotNull()).select(
+        "date", "agency", "id", F.col("thumbnail").isNull().alias("bare"), F.sha2(F.col("content").cast("binary"), 256).alias("digest"), "content")
+    return _accepted(found.join(F.broadcast(lists) if few else lists, "date"), n)
+
+
+def _accepted(found: DataFrame, n: int) -> DataFrame:
+    """E15 and E16 on articles with the list ``listed`` to look for in ``content``."""
+    content = F.col("content")
     found = found.withColumn("words", F.filter("listed", lambda k: content.contains(k["keyword"]))).drop("content", "listed")
     hits = found.select("date", "agency", "id", "bare", "digest", "words", F.inline("words"))
     by = Window.partitionBy("date", "keyword", "agency").orderBy("id")
@@ -67,6 +98,19 @@ def live_keywords(articles: DataFrame) -> DataFrame:
     return articles.select("date", "keyword", "kpos").distinct()
 
 
+def with_articles(keywords: DataFrame, articles: DataFrame) -> DataFrame:
+    """M2: the keywords of a day that retrieved at least one of its articles."""
+    return keywords.join(articles.select("date", "keyword"), ["date", "keyword"], "left_semi")
+
+
+def drop_dead(table: DataFrame, base: DataFrame, live: DataFrame) -> DataFrame:
+    """S5 after M2: the keyword table ``(date, type_id, value)`` without the rows
+    of base keywords that retrieved nothing; all other rows (MIX) stay."""
+    dead = base.join(live, ["date", "keyword"], "left_anti").select("date", F.col("keyword").alias("value"))
+    rest = table.filter(~F.col("type_id").contains("MIX"))
+    return drop_keys(rest, dead, ["date", "value"]).unionByName(table.filter(F.col("type_id").contains("MIX")))
+
+
 def prefix_itemsets(arts: DataFrame, keywords: DataFrame) -> DataFrame:
     """M4: per retrieved article row, the matched keywords in ``kpos`` order;
     its first two and first three are counted (not all pairs).

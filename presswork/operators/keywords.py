@@ -22,7 +22,7 @@ SLOT_STARTS = (0, 6, 10, 14, 18, 22)
 AGE_HOURS_RE = r"^(\d+)시간전"
 
 
-def age_hours(ts, as_of, wrap: bool = True) -> Column:
+def age_hours(ts, as_of, wrap: bool = False) -> Column:
     """Whole hours between ``ts`` and ``as_of``; modulo 24 when ``wrap``."""
     t = F.col(ts) if isinstance(ts, str) else ts
     h = F.floor((F.unix_micros(as_of) - F.unix_micros(t)) / F.lit(3_600_000_000)).cast("long")
@@ -38,8 +38,9 @@ def slot_of_age(hours: Column) -> Column:
 
 
 def age_slot(df: DataFrame, ts: str = "ts", as_of: Column | None = None,
-             wrap: bool = True) -> DataFrame:
-    """K1: add ``slot``; ``as_of`` defaults to the newest ``ts`` (scalar subquery)."""
+             wrap: bool = False) -> DataFrame:
+    """K1: add ``slot``, older articles excluded; ``as_of`` defaults to the newest
+    ``ts`` (scalar subquery). ``wrap`` takes ages modulo a day instead."""
     if as_of is None:
         as_of = df.select(F.max(ts)).scalar()
     out = df.withColumn("_h", age_hours(ts, as_of, wrap))

@@ -19,7 +19,7 @@ from presswork.sources.corpus import corpus_articles, fixed_keywords
 def analysed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 (slot by age, modulo a day) -> K3 (title dedup per slot) -> K4 text."""
     art = corpus_articles(spark, sf_dir).select("id", "title", "content", "ts", "agency")
-    art = K.age_slot(art, "ts")
+    art = K.age_slot(art, "ts", wrap=True)
     art = K.dedup_title(art, order=[F.col("id")])
     return K.concat_text(art)
 
@@ -99,7 +99,7 @@ def daily_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     day's run analyses. Ages count back from the end of the day, so articles
     of other days (or of the very midnight before) are in no slot."""
     art = corpus_articles(spark, sf_dir).filter(F.col("ts").isNotNull()).select("id", "date", "title", "ts")
-    art = K.age_slot(art, "ts", F.date_add("date", 1).cast("timestamp"), wrap=False)
+    art = K.age_slot(art, "ts", F.date_add("date", 1).cast("timestamp"))
     return K.dedup_title(art, [F.col("id")], ("date", "slot")).select("id", "date", "slot")
 
 

@@ -36,7 +36,7 @@ SELECT id, h AS hours, slot FROM (
 def k1_age_slot(spark, sf):
     art = corpus_articles(spark, sf)
     as_of = art.select(F.max("ts")).scalar()
-    h = K.age_hours("ts", as_of)
+    h = K.age_hours("ts", as_of, wrap=True)
     return art.select("id", h.alias("hours"), K.slot_of_age(h).alias("slot"))
 
 
@@ -52,7 +52,7 @@ def k2_parse_age(spark, sf):
     first hour), parsed back with K2."""
     art = corpus_articles(spark, sf).filter(F.col("ts").isNotNull())
     as_of = art.select(F.max("ts")).scalar()
-    h = K.age_hours("ts", as_of)
+    h = K.age_hours("ts", as_of, wrap=True)
     m = F.pmod(F.floor((F.unix_micros(as_of) - F.unix_micros("ts")) / F.lit(60_000_000)).cast("long"), F.lit(60))
     txt = F.when(h == 0, F.concat(m.cast("string"), F.lit("분전"))).otherwise(
         F.concat(h.cast("string"), F.lit("시간전")))

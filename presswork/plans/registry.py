@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers on import)."""
-    from presswork.plans import q_cluster, q_combos, q_day, q_pages, q_serving, q_site, q_sources, q_stream, q_summary  # noqa: F401
+    from presswork.plans import q_cluster, q_combos, q_daily, q_day, q_pages, q_serving, q_site, q_sources, q_stream, q_summary  # noqa: F401

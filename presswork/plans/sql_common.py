@@ -7,6 +7,7 @@ They restate the article model and the text rules of the Spark plans in SQL
 from __future__ import annotations
 
 from presswork.functions.stopwords import FUNCTION_WORDS, GENERIC_WORDS
+from presswork.functions.text import TRIM_RE
 
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -47,7 +48,7 @@ def merge_sentences_cte(name: str, src: str, keys: str, text: str = "text", min_
 {name}_g AS (
   SELECT *, sum(CASE WHEN fpos = 1 OR length(t) > {min_len} THEN 1 ELSE 0 END)
               OVER (PARTITION BY {keys} ORDER BY fpos ROWS UNBOUNDED PRECEDING) AS grp
-  FROM (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM {name}_f)),
+  FROM (SELECT *, regexp_replace(raw, '{TRIM_RE}', '', 'g') AS t FROM {name}_f)),
 {name}_s AS (
   SELECT {keys}, grp, string_agg(t, ' ' ORDER BY fpos) AS sentence FROM {name}_g GROUP BY ALL),
 {name} AS (
