@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from presswork.functions.text import merge_sentences
@@ -67,3 +69,28 @@ def test_u9_two_sentences(spark):
     r = graph.salience(e, n, ["g"]).collect()
     # a = 1 for both cells: f(1) = 0.85^30 + 0.15 (1 - 0.85^30) / 0.15 = 1, plus 0.15 on the diagonal
     assert all(abs(x.score - 1.15) < 1e-9 for x in r)
+
+
+def test_k10_grouped_solves_the_linear_system(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for gid, (sents, words) in enumerate([(1, 1), (1, 2), (30, 12), (200, 90), (3, 400)]):
+        x = (rng.random((sents, words)) < 0.2) * rng.integers(1, 4, (sents, words)).astype(float)
+        x[0] = np.maximum(x[0], 1.0)
+        x = np.c_[x, np.zeros(sents)]
+        x = np.vstack([x, np.eye(words + 1)[-1]])  # a word alone in its sentence
+        x /= np.sqrt((x * x).sum(0))
+        w = x.T @ x
+        np.fill_diagonal(w, 0)
+        t = w.sum(0)
+        want = np.linalg.solve(np.eye(len(t)) - 0.85 * w * np.divide(1, t, out=np.zeros(len(t)), where=t > 0), np.full(len(t), 0.15))
+        rows.append((gid, x, want))
+    df = spark.createDataFrame([(g, i, f"w{j:03d}", float(x[i, j])) for g, x, _ in rows for i, j in zip(*np.nonzero(x), strict=True)],
+                               "id int, sent int, word string, x double")
+    every = {(r.id, r.word): r["rank"] for r in graph.text_rank_grouped(df, top=None).collect()}
+    best = {(r.id, r.pos): r.word for r in graph.text_rank_grouped(df, top=7).collect()}
+    for g, _x, want in rows:
+        got = np.array([every[g, f"w{j:03d}"] for j in range(len(want))])
+        assert np.abs(got - want).max() < 1e-6
+        order = sorted(range(len(want)), key=lambda j: (-got[j], j))[:7]
+        assert [best[g, k] for k in range(len(order))] == [f"w{j:03d}" for j in order]
