@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -284,12 +283,11 @@ def text_rank_grouped(xn: DataFrame, group: str = "id", sent: str = "sent",
     gtype = dict(xn.dtypes)[group]
     schema = f"{group} {gtype}, pos int, word string, rank double"
 
-    def run(table: pa.Table) -> pa.Table:
-        gid = table.column(0).slice(0, 1).combine_chunks()
-        coded = table.column(2).combine_chunks().dictionary_encode()
-        words, w = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        _, s = np.unique(table.column(1).to_numpy(), return_inverse=True)
-        xv = table.column(3).to_numpy()
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        gid = pdf[group].iloc[0]
+        w, words = pd.factorize(pdf["word"].to_numpy(dtype=object))
+        s, _ = pd.factorize(pdf[sent].to_numpy())
+        xv = pdf["x"].to_numpy(dtype=float)
         n = len(words)
 
         def others(y: np.ndarray) -> np.ndarray:
@@ -323,15 +321,13 @@ def text_rank_grouped(xn: DataFrame, group: str = "id", sent: str = "sent",
             if moved < tol * max(1.0, np.abs(x).max()):
                 break
         else:
-            raise RuntimeError(f"ranks of group {gid[0]!r} still move by {moved}")
+            raise RuntimeError(f"ranks of group {gid!r} still move by {moved}")
         # equal ranks that differ in their last bits are rounded alike
         rank = np.floor(np.round(x, 9) * 1e6 + 0.5) / 1e6
         best = np.arange(n)
         if top is not None and top < n:  # all that tie with the last one
             best = np.flatnonzero(rank >= np.partition(rank, n - top)[n - top])
-        names = words.take(pa.array(best)).to_pylist()
-        order = sorted(range(len(best)), key=lambda i: (-rank[best[i]], names[i]))[:top]
-        return pa.table({group: pa.repeat(gid[0], len(order)), "pos": pa.array(range(len(order)), pa.int32()),
-                         "word": pa.array([names[i] for i in order], pa.string()), "rank": pa.array(rank[best[order]])})
+        best = sorted(best.tolist(), key=lambda i: (-rank[i], words[i]))[:top]
+        return pd.DataFrame({group: gid, "pos": np.arange(len(best), dtype=np.int32), "word": words[best], "rank": rank[best]})
 
-    return xn.select(group, sent, "word", "x").groupBy(group).applyInArrow(run, schema)
+    return xn.select(group, sent, "word", "x").groupBy(group).applyInPandas(run, schema)

@@ -85,7 +85,7 @@ def test_k10_grouped_solves_the_linear_system(spark):
         t = w.sum(0)
         want = np.linalg.solve(np.eye(len(t)) - 0.85 * w * np.divide(1, t, out=np.zeros(len(t)), where=t > 0), np.full(len(t), 0.15))
         rows.append((gid, x, want))
-    df = spark.createDataFrame([(g, i, f"w{j:03d}", float(x[i, j])) for g, x, _ in rows for i, j in zip(*np.nonzero(x), strict=True)],
+    df = spark.createDataFrame([(g, int(i), f"w{j:03d}", float(x[i, j])) for g, x, _ in rows for i, j in zip(*np.nonzero(x), strict=True)],
                                "id int, sent int, word string, x double")
     every = {(r.id, r.word): r["rank"] for r in graph.text_rank_grouped(df, top=None).collect()}
     best = {(r.id, r.pos): r.word for r in graph.text_rank_grouped(df, top=7).collect()}
