@@ -12,8 +12,10 @@ Defined results: null and empty texts have the feature vector of an empty
 text and get a score like any other; repeated rows get equal scores; null
 labels and labels without a document teach nothing; a repeated label row
 counts once (the smallest). Without both classes every score is the share of
-better labels (0.5 without labels). At most ``max_rows`` labelled texts of a
-class (chosen by a hash of the id) enter the fit; every row is scored.
+better labels (0.5 without labels). Every labelled text enters the fit, its
+pairs, the threshold and the curve: the rows lie in blocks chosen by a hash of
+the id, pairs are drawn within a block, and each step of the fit is one pass
+that sums 16 x 16 numbers over the blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ FEATURES = ("words", "word_bytes", "symbols", "bars", "marks", "upper", "digits"
 
 @dataclass(frozen=True)
 class Settings:
-    max_rows: int = 6000   # labelled texts per class used for the fit
+    block: int = 6000      # labelled texts of the larger class in a block of pairs
+    least: int = 64        # of the smaller class in a block: fewer than this are put into several
     pairs_each: int = 6    # preference pairs per labelled text
     cut: float = 0.7
     l2: float = 1e-3
@@ -127,49 +130,124 @@ def feature_table(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, x array<double>")
 
 
+def _blocks(have: DataFrame, share: dict[int, int], s: Settings) -> DataFrame:
+    """``(block, doc_id, y, x, own)``: the labelled rows in blocks by a hash of
+    the id. Where the smaller class is too small for all blocks its rows are
+    copied into as many as it takes; ``own`` is true for one of the copies."""
+    n = -(-max(share.values()) // s.block)
+    few = min(share, key=lambda c: (share[c], c))
+    copies = min(n, -(-n * s.least // share[few])) if n > 1 else 1
+    h = F.xxhash64("doc_id")
+    at = F.when(F.col("y") == few, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
+    return (have.select("doc_id", "y", "x", h.alias("_h"), F.explode(at).alias("_c"))
+            .select(F.pmod(F.col("_h") + F.col("_c") * F.lit(max(n // copies, 1)), F.lit(n)).cast("int").alias("block"),
+                    "doc_id", "y", "x", (F.col("_c") == 0).alias("own"), "_h"))
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """One row a block: its texts by class in the order of their hash, as flat
+    lists ``low``, ``high`` (all that it holds) and ``own0``, ``own1``."""
+    def listed(c, own):
+        cond = (F.col("y") == c) & F.col("own") if own else F.col("y") == c
+        got = F.array_sort(F.collect_list(F.when(cond, F.struct("_h", "doc_id", "x"))))
+        return F.flatten(F.transform(got, lambda r: r["x"]))
+
+    return rows.groupBy("block").agg(listed(0, False).alias("low"), listed(1, False).alias("high"), listed(0, True).alias("own0"), listed(1, True).alias("own1"))
+
+
+def _summed(packed: DataFrame, value, *columns: str) -> np.ndarray:
+    """Sum over the blocks of ``value(block, arrays of its columns)``, a flat
+    array; a task sends one, added up in the order of the tasks."""
+    def run(batches):
+        total = None
+        for b in batches:
+            for i in range(b.num_rows):
+                rows = [b.column(j + 1)[i].values.to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)) for j in range(len(columns))]
+                v = value(b.column(0)[i].as_py(), *rows)
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(total)], pa.int32()), pa.array(total))], names=["v"])
+
+    got = packed.select("block", *columns).mapInArrow(run, "v array<double>").collect()
+    return np.sum([r["v"] for r in got], axis=0)
+
+
+def _pairs(block: int, low: np.ndarray, high: np.ndarray, s: Settings) -> np.ndarray:
+    """Differences of the block's preference pairs, the same in every pass."""
+    if not len(low) or not len(high):
+        return np.zeros((0, len(FEATURES)))
+    m = s.pairs_each * max(len(low), len(high))
+    rng = np.random.default_rng(17 if block == 0 else [17, block])
+    return high[np.arange(m) % len(high)] - low[rng.integers(0, len(low), m)]
+
+
+def _middle(raw: DataFrame, k: int, n: int) -> float:
+    """Half-way between the ``k``-th and the next of ``n`` values ``raw``: a
+    bracket by quantiles of bounded error, then the values inside, counted."""
+    err = 1e-4
+    lo, hi = raw.approxQuantile("raw", [max(k / n - 2 * err - 1 / n, 0.0), min(k / n + 2 * err + 2 / n, 1.0)], err)
+    below = raw.where(F.col("raw") < lo).count()
+    inside = raw.where(F.col("raw").between(lo, hi)).groupBy("raw").count().orderBy("raw").collect()
+    upto = below + np.cumsum([r["count"] for r in inside])
+    values = [r["raw"] for r in inside]
+    a, b = int(np.searchsorted(upto, k)), int(np.searchsorted(upto, k + 1))
+    return float((values[a] + values[b]) / 2)
+
+
 def fit(table: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", label: str = "quality") -> Model:
-    """Learns from a bounded number of labelled rows of a feature table."""
+    """Learns from all labelled rows of a feature table; the driver gets sums."""
     one = (labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y"))
            .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.min("y").alias("y")))
-    have = table.join(one, "doc_id").dropDuplicates(["doc_id"])
+    have = cut_lineage(table.join(one, "doc_id").dropDuplicates(["doc_id"]))
     share = {r["y"]: r["n"] for r in have.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     k = len(FEATURES)
     if not share.get(0) or not share.get(1):
         p = share.get(1, 0) / max(sum(share.values()), 1) if share else 0.5
         p = min(max(p, 1e-6), 1 - 1e-6)
         return Model(np.zeros(k), np.zeros(k), np.ones(k), 0.0, 1.0, float(np.log(p / (1 - p))))
-    parts = {c: np.array([list(r["x"]) for r in have.where(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id")
-                          .limit(s.max_rows).select("x").collect()]) for c in (0, 1)}
-    low, high = parts[0], parts[1]
-    both = np.vstack([low, high])
-    mean, scale = both.mean(0), both.std(0) + 1e-9
-    lo, hi = ((x - mean) / scale for x in (low, high))
-    lo, hi = lo.clip(-8, 8), hi.clip(-8, 8)
-    rng = np.random.default_rng(17)
-    m = s.pairs_each * max(len(lo), len(hi))
-    diff = hi[np.arange(m) % len(hi)] - lo[rng.integers(0, len(lo), m)]
+    packed = cut_lineage(_packed(_blocks(have, share, s)))
+    n = share[0] + share[1]
+    mean = _summed(packed, lambda _, a, b: a.sum(0) + b.sum(0), "own0", "own1") / n
+    scale = np.sqrt(_summed(packed, lambda _, a, b: ((a - mean) ** 2).sum(0) + ((b - mean) ** 2).sum(0), "own0", "own1") / n) + 1e-9
+
+    def scaled(x):
+        return ((x - mean) / scale).clip(-8, 8)
+
     w = np.zeros(k)
     for _ in range(40):  # Newton steps of the Bradley-Terry likelihood
-        p = 1 / (1 + np.exp(-(diff @ w).clip(-40, 40)))
-        grad = diff.T @ (p - 1) / m + s.l2 * w
-        step = np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / m + s.l2 * np.eye(k), grad)
+        def part(block, low, high, w=w):
+            diff = _pairs(block, scaled(low), scaled(high), s)
+            p = 1 / (1 + np.exp(-(diff @ w).clip(-40, 40)))
+            return np.concatenate([[len(diff)], diff.T @ (p - 1), ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()])
+
+        got = _summed(packed, part, "low", "high")
+        m = got[0]
+        step = np.linalg.solve(got[k + 1:].reshape(k, k) / m + s.l2 * np.eye(k), got[1:k + 1] / m + s.l2 * w)
         w = w - step * min(1.0, 5.0 / (np.linalg.norm(step) + 1e-12))
         if np.abs(step).max() < 1e-9:
             break
-    raw = np.concatenate([lo @ w, hi @ w])
-    y = np.concatenate([np.zeros(len(lo)), np.ones(len(hi))])
-    weight = np.where(y == 1, share[1] / len(hi), share[0] / len(lo))
-    order = np.argsort(raw, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    at = min(int(np.searchsorted(below, share[0] / (share[0] + share[1]) - 1e-9)), len(raw) - 2)
-    threshold = float((raw[order[at]] + raw[order[at + 1]]) / 2)
+
+    def raws(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(scaled(b.column(0).flatten().to_numpy().reshape(-1, k)) @ w)], names=["raw"])
+
+    threshold = _middle(cut_lineage(have.select("x").mapInArrow(raws, "raw double")), share[0], n)
     offset, slope = float(np.log(s.cut / (1 - s.cut))) + 1e-9, 1.0
-    t = raw - threshold
     for _ in range(60):  # slope of the reporting curve
-        p = 1 / (1 + np.exp(-(slope * t + offset).clip(-40, 40)))
-        g = float((weight * (p - y) * t).sum() / weight.sum()) + 1e-3 * slope
-        h = float((weight * p * (1 - p) * t * t).sum() / weight.sum()) + 1e-3
+        def curve(_, low, high, slope=slope):
+            out = np.zeros(2)
+            for y, x in ((0, low), (1, high)):
+                t = scaled(x) @ w - threshold
+                p = 1 / (1 + np.exp(-(slope * t + offset).clip(-40, 40)))
+                out += [((p - y) * t).sum(), (p * (1 - p) * t * t).sum()]
+            return out
+
+        first, second = _summed(packed, curve, "own0", "own1") / n
+        g, h = first + 1e-3 * slope, second + 1e-3
+        before = slope
         slope = max(slope - g / h, 1e-3) if abs(g / h) < 2 else slope - np.sign(g) * min(1.0, slope / 2)
+        if abs(slope - before) < 1e-13 * max(1.0, abs(slope)):
+            break
     return Model(w, mean, scale, threshold, float(slope), offset)
 
 

@@ -8,6 +8,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -459,3 +460,23 @@ def test_folds(spark):
     import brute
     got = spark.range(50).select(F.col("id"), fold("id", 7).alias("f")).collect()
     assert all(r.f == brute.fold(r.id, 7) for r in got) and load(spark, "/root/testdata/sf0.001", "labels").count() > 0
+
+
+def test_quality_learns_from_every_label(spark):
+    """Rows whose labels lie outside any bounded choice move mean, threshold and
+    weights: the fit by blocks is that of one block of all rows."""
+    docs = spark.createDataFrame([(i, " ".join(["word", "||", "alpha"][(i + j) % 3] * (1 + i % 5) for j in range(3 + i % 17)) + "!?" * (i % 4)) for i in range(400)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.pmod("doc_id", F.lit(7)) < 2).cast("int").alias("quality"))
+    table = quality.feature_table(docs)
+    whole, parted = (quality.fit(table, labels, quality.Settings(block=b, least=16)) for b in (6000, 40))
+    x = quality.features(pa.array([r.text for r in docs.orderBy("doc_id").collect()]))
+    assert np.allclose(whole.mean, x.mean(0)) and np.allclose(parted.mean, x.mean(0)) and np.allclose(parted.scale, x.std(0) + 1e-9)
+    for m in (whole, parted):  # half-way between the scores at the worse labels' share
+        raw = np.sort(m.raw(x))
+        n0 = sum(i % 7 >= 2 for i in range(400))
+        assert abs(m.threshold - (raw[n0 - 1] + raw[n0]) / 2) < 1e-9
+    y = np.array([i % 7 < 2 for i in range(400)])
+
+    def ordered(m):
+        return (m.raw(x)[y][:, None] > m.raw(x)[~y][None]).mean()
+    assert abs(ordered(whole) - ordered(parted)) < 0.1
