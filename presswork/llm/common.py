@@ -2,36 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.session import cut_lineage
+from presswork.session import cut_lineage, ship
 
 __all__ = ["cut_lineage", "fold", "load", "ship", "spread", "text_bytes"]
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that their
-    Python workers can import it wherever they start."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    top = Path(__file__).resolve().parents[1]
-    out = Path(tempfile.mkdtemp(prefix="presswork-ship-")) / "presswork_package.zip"
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    spark.sparkContext.addPyFile(str(out))
-    _shipped.add(app)
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -94,3 +94,47 @@ def test_k10_grouped_solves_the_linear_system(spark):
         assert np.abs(got - want).max() < 1e-6
         order = sorted(range(len(want)), key=lambda j: (-got[j], j))[:7]
         assert [best[g, k] for k in range(len(order))] == [f"w{j:03d}" for j in order]
+
+
+def test_k9_k10_groups_that_batches_cut(spark):
+    """Edges and ranks of many small groups handed on together, with batches
+    that end inside a group and a null group, equal those of each by itself."""
+    from presswork.operators.vectors import l2_by, word_graph
+    rng = np.random.default_rng(3)
+    rows = [(None if g == 7 else g, s, f"w{j}", int(rng.integers(1, 4))) for g in range(40) for s in range(1 + g % 5) for j in range(g % 9 + 1) if rng.random() < 0.7]
+    df = spark.createDataFrame(rows, "id int, sent int, word string, c long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = {(r.id, r.src, r.dst): r.w for p in (50, 500_000) for r in word_graph(df, pairs=p).collect()}
+        ranks = {(r.id, r.word): r["rank"] for r in graph.text_rank_grouped(l2_by(df, ["id", "word"]), top=None).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want, n_ranks = {}, 0
+    for g in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == g]
+        words = sorted({r[2] for r in mine})
+        x = np.zeros((5, len(words)))
+        for _, s, word, c in mine:
+            x[s, words.index(word)] = c
+        n_ranks += len(words)
+        shared = (x > 0).T.astype(int) @ (x > 0) > 0
+        w = (x / np.sqrt((x * x).sum(0))).T @ (x / np.sqrt((x * x).sum(0)))
+        if g is not None:
+            want.update({(g, a, b): w[i, j] for i, a in enumerate(words) for j, b in enumerate(words) if shared[i, j]})
+        np.fill_diagonal(w, 0)
+        t = w.sum(0)
+        rank = np.linalg.solve(np.eye(len(t)) - 0.85 * w * np.divide(1, t, out=np.zeros(len(t)), where=t > 0), np.full(len(t), 0.15))
+        assert all(abs(ranks[g, a] - rank[i]) < 2e-6 for i, a in enumerate(words))
+    assert len(ranks) == n_ranks and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_group_partitions_grow_with_the_texts(spark):
+    from presswork.session import group_partitions
+    before = spark.conf.get("presswork.group.partitions")
+    spark.conf.unset("presswork.group.partitions")
+    try:
+        few = group_partitions(spark)
+        assert group_partitions(spark, 1000) == few and group_partitions(spark, 6 << 30) == 6 * 256
+    finally:
+        spark.conf.set("presswork.group.partitions", before)
