@@ -25,8 +25,8 @@ words, pairs and triples, packed by destination, to where the numbers are, and
 get back partial sums. Those that make up ``cache`` of all tokens (at most
 ``1 / cache`` of each length) are broadcast and need not be sent. Neither need
 what a sieve shows to be no context, symbol or entry: a bit for each remainder
-of a hash, ``2 ** sieve`` bits at any size, so that large tables fill it and it
-keeps less away. Both spare traffic only and change no result.
+of a hash, 32 bits an entry up to ``2 ** sieve`` bits, so that tables beyond
+fill it and it keeps less away. Both spare traffic only and change no result.
 
 Defined results: a null or empty text is its end alone; repeated rows are
 scored (and taught) each for itself; rows with a null id are scored but never
@@ -63,7 +63,7 @@ class Settings:
     discount: float = 0.5
     strength: float = 4.0     # nats
     cache: float = 1e-6       # share of the tokens; says only what is broadcast
-    sieve: int = 24           # log2 of its bits; spares traffic only
+    sieve: int = 25           # log2 of its most bits; spares traffic only
 
 
 @dataclass
@@ -92,14 +92,16 @@ def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(table[at] == x, at, -1)
 
 
-def _sieve(table: DataFrame, bits: int) -> np.ndarray:
-    """The bits that the column ``hash`` sets; its high ``bits`` bits say which.
-    At most a row of 64 bits each comes to the driver."""
+def _sieve(table: DataFrame, most: int) -> np.ndarray:
+    """The bits that the column ``hash`` sets; its high bits say which. There are
+    32 bits a row, ``2 ** most`` at most. At most a row of 64 bits each comes to
+    the driver, as Arrow columns."""
+    bits = min(max((32 * table.count()).bit_length(), 12), most)
     slot = F.shiftrightunsigned("hash", 64 - bits)
-    got = (table.select(F.shiftright(slot, 6).alias("at"), F.expr("1L << cast(" + f"shiftrightunsigned(hash, {64 - bits}) & 63 as int)").alias("bit"))
-           .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas())
+    got = (table.select(F.shiftright(slot, 6).alias("at"), F.expr(f"1L << cast(shiftrightunsigned(hash, {64 - bits}) & 63 as int)").alias("bit"))
+           .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 6), np.int64)
-    out[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     return out.view(B.U64)
 
 
@@ -340,11 +342,11 @@ def learn(docs: DataFrame, s: Settings, parts: int) -> Model:
         entries = entries.unionByName(x)
     entries = _written(entries.groupBy("hash").agg(F.max("n").alias("n"), F.sum("extra").alias("extra")), "suffix-entries")
     # at most 1 / cache of each length
-    near = entries.where(F.col("n") >= max(s.cache * total, s.least_next)).toPandas()
-    h = near["hash"].to_numpy(np.int64).view(B.U64)
+    near = entries.where(F.col("n") >= max(s.cache * total, s.least_next)).toArrow()
+    h = near.column("hash").to_numpy().astype(np.int64).view(B.U64)
     order = np.argsort(h)
     sieve = _sieve(entries.where("extra <> 0"), s.sieve)
-    return Model(s, total, distinct, counts, entries, sieve, states, h[order], near["n"].to_numpy(np.int64)[order], near["extra"].to_numpy(np.float64)[order])
+    return Model(s, total, distinct, counts, entries, sieve, states, h[order], near.column("n").to_numpy().astype(np.int64)[order], near.column("extra").to_numpy().astype(np.float64)[order])
 
 
 # --- scoring --------------------------------------------------------------

@@ -369,6 +369,34 @@ def test_language_model_grows_with_the_corpus(spark):
     assert seen[1][0] > 2 * seen[0][0] and seen[1][1] > seen[0][1]
 
 
+def test_sieve_grows_with_its_table(spark):
+    """32 bits a row up to the most; every hash of the table may be in it."""
+    for n, most, bits in ((0, 20, 12), (1000, 20, 15), (50_000, 20, 20)):
+        table = spark.range(n).select(F.xxhash64("id").alias("hash"))
+        sieve = suffixlm._sieve(table, most)
+        assert len(sieve) * 64 == 1 << bits
+        h = table.toArrow().column("hash").to_numpy().astype(np.int64).view(np.uint64)
+        assert suffixlm._may_be(sieve, h).all()
+        other = spark.range(10_000).select(F.xxhash64(F.col("id") + 1_000_000).alias("hash")).toArrow().column("hash").to_numpy().view(np.uint64)
+        assert suffixlm._may_be(sieve, other).mean() < 1.2 * n / (1 << bits) + 1e-9
+
+
+def test_models_come_to_the_driver_as_arrow(spark, monkeypatch):
+    """Rows as Python objects take many times the memory of their columns."""
+    def refuse(self):
+        raise AssertionError("rows collected as objects")
+
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refuse)
+    texts = [(i, ("vile filth " if i % 2 else "kind words ") * 3 + f"number {i}") for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert len(toxicity.fit(docs, labels).slots)
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30)))], "item_id long, text string")
+    bench = docs.unionByName(spark.createDataFrame([(900, "so " + " ".join(f"w{i}" for i in range(30)))], "doc_id long, text string"))
+    assert [r.doc_id for r in decontam.contaminated(bench, items).collect()] == [900]
+    assert suffixlm.score_texts(docs, F.col("doc_id") < 50).count() == 60
+
+
 def test_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [0.0, 0.0], 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 1), (7, None, 1), (8, [None, 1.0], 1),
