@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm import decontam, minhash, packing, substring, toxicity
 from presswork.llm.common import fold, load
-from presswork.session import checkpoint_dir
+from presswork.session import checkpoint_dir, free_shuffles
 
 #: Words on shingles of five and a similarity of 0.8 or more.
 NEAR = minhash.Settings(shingle=5, percent=80)
@@ -78,6 +78,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each result is written to the checkpoint folder."""
+    free_shuffles(spark)
     docs, top = load(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")

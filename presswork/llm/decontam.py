@@ -264,8 +264,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
         counts = np.zeros(len(index.keys), np.int64)
         if len(index.keys):
             got = (texts.mapInArrow(lambda it, index=index: _count(it, index), "gram long, n long")
-                   .groupBy("gram").agg(F.sum("n").alias("n")).toPandas())  # at most one row per n-gram of the pass, and one
-            gram, n = got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+                   .groupBy("gram").agg(F.sum("n").alias("n")).toArrow())  # at most one row per n-gram of the pass, and one
+            gram, n = got.column("gram").to_numpy(), got.column("n").to_numpy()
             counts[gram[gram >= 0]] = n[gram >= 0]
             index.keep_seeds(counts, int(n[gram < 0].sum()))
         part = texts.mapInArrow(lambda it, index=index: _match(it, index, arrow) if len(index.keys) else iter(()), schema)

@@ -141,8 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text: str
 
     g = 2 * (cell(p, n_tox + 2.0) + cell(q, n_clean + 2.0))
     chosen = (counts.select("slot", ratio.alias("r"), g.alias("g")).where(F.col("g") >= s.min_g)
-              .drop("g").toPandas().sort_values("slot"))  # bounded by the slots of 2 * max_rows texts and by 2**bits
-    slots, r = chosen["slot"].to_numpy(np.int64), chosen["r"].to_numpy(float)
+              .drop("g").toArrow().sort_by("slot"))  # bounded by the slots of 2 * max_rows texts and by 2**bits
+    slots, r = chosen.column("slot").to_numpy().astype(np.int64), chosen.column("r").to_numpy().astype(float)
     design = sets.mapInArrow(lambda it: _selected(it, slots), "toxic int, places array<int>")
     got = design.toArrow()  # at most 2 * max_rows rows
     y = got.column("toxic").to_numpy().astype(float)
