@@ -71,3 +71,22 @@ def test_v10_four_states(spark):
     summ = spark.createDataFrame([(D1, "ok"), (D1, "orphan")], "date date, keyword string")
     got = {r.keyword: (r.articles, r.summaries, r.status) for r in W.keyword_status(kw, arts, summ).collect()}
     assert got == {"ok": (2, 1, "ok"), "bare": (1, 0, "no summary"), "orphan": (0, 1, "no articles"), "none": (0, 0, "nothing")}
+
+
+def test_shipped_package_imports(tmp_path):
+    """As ``session.ship`` sends it: a zip of the files alone, which has no
+    namespace packages."""
+    import subprocess
+    import sys
+    import zipfile
+    from pathlib import Path
+
+    import presswork
+
+    top, out = Path(presswork.__file__).resolve().parent, tmp_path / "package.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in top.rglob("*.py"):
+            z.write(p, p.relative_to(top.parent))
+    code = "import presswork.functions.text, presswork.operators.groups, presswork.sources.corpus, presswork.llm.common as c; print(c.__file__)"
+    got = subprocess.run([sys.executable, "-c", f"import sys; sys.path.insert(0, {str(out)!r}); {code}"], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert got.returncode == 0 and str(out) in got.stdout, got.stderr
