@@ -27,7 +27,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for each node of ``edges (a, b)``: the smallest
     node that links reach. Rounds go on until the edges no longer change; each
-    round's edges are written to the checkpoint folder."""
+    star's edges are written to the checkpoint folder, as a plan of both holds
+    the edges nine times, and the driver keeps and logs plans."""
     now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
@@ -35,6 +36,6 @@ def connected(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        now = cut_lineage(_star(_star(now, False), True))
+        now = cut_lineage(_star(cut_lineage(_star(now, False)), True))
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

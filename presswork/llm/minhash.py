@@ -198,6 +198,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), text: str = "text
              .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("s1", "s2", "component")))
              .withColumn("main", F.max(F.struct("same", "component")).over(bucket)["component"] == F.col("component"))
              .join(sets.select("rep", "marks"), "rep"))
+    # used twice below: written once, so that the plan of the pairs is small
+    open_ = cut_lineage(open_.select("s1", "s2", "rep", "n", "component", "far", "main", "marks"))
     x, y = (open_.select("s1", "s2", *(F.col(c).alias(f"{c}{k}") for c in ("rep", "n", "component", "far", "main", "marks"))) for k in "xy")
     # one side of a pair is outside the bucket's largest component
     y = y.where("not mainy")
@@ -208,7 +210,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), text: str = "text
                                             & (differ * (100 + s.percent) <= (F.col("nx") + F.col("ny")) * (100 - s.percent))
                                             & (F.col("farx").isNull() | F.col("fary").isNull() | (F.abs(F.col("farx") - F.col("fary")) <= bound)))
               .select(F.least("repx", "repy").alias("a"), F.greatest("repx", "repy").alias("b")).distinct())
-    more = cut_lineage(compared(second, sets, kind).where(linked).select("a", "b"))
+    more = cut_lineage(compared(cut_lineage(second), sets, kind).where(linked).select("a", "b"))
     if not more.isEmpty():
         comp = connected(links.unionByName(more))
     label = comp.select(F.col("node").alias("class_id"), F.col("component"))

@@ -12,8 +12,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from presswork.llm import decontam, embdup, minhash, packing, quality, substring, suffixlm, toxicity, urlrules, warc
-from presswork.llm.common import fold, load
+from presswork.llm import bytesops as B
+from presswork.llm import components, decontam, embdup, minhash, packing, quality, substring, suffixlm, toxicity, urlrules, warc
+from presswork.llm.common import cut_lineage, fold, load
 
 PASSAGE = " ".join(f"w{i}" for i in range(60))
 LONG = " ".join(f"z{i % 977}" for i in range(30_000))
@@ -110,6 +111,30 @@ def test_near_groups_that_are_not_near_enough(spark):
     assert got == brute.near(rows, 3, 85)
 
 
+def test_near_plans_stay_small(spark, monkeypatch):
+    """Each plan of the rounds and of the second round's pairs reads few tables:
+    the driver keeps, compiles and logs every plan."""
+    leaves = []
+
+    def cut(df):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves.append(plan.collectLeaves().size())
+        return cut_lineage(df)
+
+    monkeypatch.setattr(components, "cut_lineage", cut)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    assert {tuple(r) for r in components.connected(chain).collect()} == {(i, 0) for i in range(10)}
+    # one star: its edges in both directions in the least neighbour and where it is met
+    assert max(leaves) <= 8, leaves
+    monkeypatch.setattr(minhash, "cut_lineage", cut)
+    leaves.clear()
+    words = [f"a{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (3, " ".join(["y", *words[1:-1], "z"]))]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1}
+    assert max(leaves) <= 10, leaves
+
+
 def test_packing(docs):
     got = packing.pack_documents(docs).collect()
     assert sum(r.doc_id == 9 for r in got) == 2 and [(r.length, r.piece) for r in got if r.doc_id in (3, 4, 5)] == [(1, 0)] * 3
