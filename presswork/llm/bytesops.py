@@ -26,6 +26,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 CHUNK_BYTES = 3 << 20
+#: For tasks that hold much beside a chunk.
+SMALL_CHUNK_BYTES = 1 << 20
 _R_BYTE = 0x9E3779B97F4A7C15
 _R_WORD = 0xD1342543DE82EF95
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -35,7 +37,7 @@ def powers(r: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``r**i`` and ``r**-i`` modulo 2**64 for i < n (kept by the process)."""
     have = _powers.get(r)
     if have is None or len(have[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = max(n, (SMALL_CHUNK_BYTES if n <= SMALL_CHUNK_BYTES + 1 else CHUNK_BYTES) + 1)
         out = []
         for base in (r, pow(r, -1, 1 << 64)):
             p = np.full(size, base, U64)

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm import bytesops as B
 from presswork.llm.common import cut_lineage, spread, text_bytes
-from presswork.session import checkpoint_dir
+from presswork.session import checkpoint_dir, small_batches
 
 #: The end of a text, as a word hash.
 END = B.U64(0x7E57E4D0E4D7E57E)
@@ -142,12 +142,12 @@ class Tokens:
         return out
 
 
-def _taught(batches, size: int = B.CHUNK_BYTES):
+def _taught(batches):
     """Tokens of chunks of the texts that may teach."""
     for batch in batches:
         batch = batch.filter(batch.column(1))
         data, offs = B.text_buffers(batch.column(2))
-        for _, _, part, o in B.chunks(data, offs, size):
+        for _, _, part, o in B.chunks(data, offs, B.SMALL_CHUNK_BYTES):
             yield Tokens(part, o)
 
 
@@ -264,7 +264,7 @@ def _cells(batches, k: int, parts: int, contexts: np.ndarray, suffixes: np.ndarr
     """Contexts of k words with the suffix that their next symbol makes, added
     up in the task before they are sent; none that the sieves keep away."""
     held, size = [], 0
-    for t in _taught(batches, 1 << 20):
+    for t in _taught(batches):
         gram = t.grams(k)[-1]
         at = np.flatnonzero(t.place >= k)
         at = at[_may_be(suffixes, gram[at])]
@@ -381,7 +381,7 @@ def _scored(batches, m: _Near, parts: int):
         ids = batch.column(0)
         null, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
         data, offs = B.text_buffers(batch.column(2))
-        for a, b, part, o in B.chunks(data, offs):
+        for a, b, part, o in B.chunks(data, offs, B.SMALL_CHUNK_BYTES):
             t, n = Tokens(part, o), b - a
             rows = row + np.arange(n)
             row += n
@@ -473,6 +473,7 @@ def score_texts(docs: DataFrame, teach, s: Settings = Settings(), text: str = "t
     row; ``teach``: condition on ``doc_id`` of the rows that are learned from."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", F.coalesce(teach, F.lit(False)).alias("teach"), "text")
+    small_batches(docs.sparkSession)
     parts = max(spread(docs.sparkSession), min(text_bytes(docs) // (8 << 20), 1 << 16))
     model = learn(rows, s, parts)
     near = _Near(s.depth, model.log_total, model.sieve, model.hash, model.count, model.extra)

@@ -406,6 +406,29 @@ def test_sieve_grows_with_its_table(spark):
         assert suffixlm._may_be(sieve, other).mean() < 1.2 * n / (1 << bits) + 1e-9
 
 
+def test_language_model_holds_little_at_once(spark, monkeypatch):
+    """Chunks, tables of powers and Arrow batches are small, whatever the texts."""
+    sizes, real = [], suffixlm.Tokens
+
+    class Spy(real):
+        def __init__(self, data, offs):
+            sizes.append(len(data))
+            super().__init__(data, offs)
+
+    texts = pa.array([" ".join(f"w{i % 211}" for i in range(j, j + 4000)) for j in range(200)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array([True] * 200), texts], names=["doc_id", "teach", "text"])
+    none = np.zeros(0, np.uint64)
+    near = suffixlm._Near(2, 1.0, np.zeros(64, np.uint64), none, np.zeros(0, np.int64), np.zeros(0))
+    monkeypatch.setattr(suffixlm, "Tokens", Spy)
+    monkeypatch.setattr(B, "_powers", {})
+    assert sum(len(b.column(4)[0].as_py()) for b in suffixlm._scored([batch], near, 3)) == 200 * suffixlm._STATIC.itemsize
+    assert sum(len(t.hash) for t in suffixlm._taught([batch])) == 200 * 4001
+    assert texts.nbytes > 3 << 20 and max(sizes) <= 1 << 20 and sum(sizes) > 2 * (3 << 20)
+    assert max(len(x) for x, _ in B._powers.values()) <= (1 << 20) + 1
+    suffixlm.score_texts(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), F.lit(True)).collect()
+    assert spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() <= 4 << 20
+
+
 def test_models_come_to_the_driver_as_arrow(spark, monkeypatch):
     """Rows as Python objects take many times the memory of their columns."""
     def refuse(self):
