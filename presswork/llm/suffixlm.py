@@ -28,6 +28,11 @@ what a sieve shows to be no context, symbol or entry: a bit for each remainder
 of a hash, 32 bits an entry up to ``2 ** sieve`` bits, so that tables beyond
 fill it and it keeps less away. Both spare traffic only and change no result.
 
+What is shuffled at once is bounded by passes: of contexts with their next
+symbols a ``share`` of the pairs (by hash) is counted at a time, and the texts
+are scored a ``slice`` at a time. Each pass is written, then its shuffle files
+go, as do tables of the learning that nothing reads any more.
+
 Defined results: a null or empty text is its end alone; repeated rows are
 scored (and taught) each for itself; rows with a null id are scored but never
 taught; without training tokens every token is unknown (N = V = 0). An empty
@@ -43,7 +48,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.llm import bytesops as B
@@ -64,6 +69,8 @@ class Settings:
     strength: float = 4.0     # nats
     cache: float = 1e-6       # share of the tokens; says only what is broadcast
     sieve: int = 25           # log2 of its most bits; spares traffic only
+    shares: int = 2           # passes that count a length of contexts
+    slices: int = 3           # passes that score the texts
 
 
 @dataclass
@@ -71,9 +78,8 @@ class Model:
     settings: Settings
     tokens: int               # N
     words: int                # V
-    counts: DataFrame         # all words' counts, a packed row per destination
-    entries: DataFrame        # (hash, n, extra) of every stored word, pair, triple
-    sieve: np.ndarray         # of the entries whose extra is not 0
+    table: DataFrame          # a packed row per destination: all words' counts, and the runs whose extra is not 0
+    sieve: np.ndarray         # of these runs
     states: list[DataFrame]   # per length (context, c, rest): kept contexts
     hash: np.ndarray          # those that are broadcast, sorted
     count: np.ndarray
@@ -167,7 +173,7 @@ def _merge(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[at], np.add.reduceat(n, at) if len(at) else n
 
 
-def _packed(h: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+def _packed(h: np.ndarray, n: np.ndarray, parts: int, names: tuple[str, str] = ("hashes", "counts")) -> pa.RecordBatch:
     part = _place(h, parts)
     order = np.argsort(part, kind="stable")
     part, h, n = part[order], h[order], n[order]
@@ -177,7 +183,7 @@ def _packed(h: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
     def binary(x):
         return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((ends * x.dtype.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
 
-    return pa.RecordBatch.from_arrays([pa.array(part[first], pa.int32()), binary(h), binary(n.astype(np.int64))], names=["part", "hashes", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(part[first], pa.int32()), binary(h), binary(n)], names=["part", *names])
 
 
 def _counted(items, parts: int, most: int = 3_000_000):
@@ -260,13 +266,16 @@ def _packed_cells(c: np.ndarray, s: np.ndarray, n: np.ndarray, parts: int) -> pa
                                       names=[x.split(" ")[0] for x in _CELLS.split(", ")])
 
 
-def _cells(batches, k: int, parts: int, contexts: np.ndarray, suffixes: np.ndarray, most: int = 500_000):
+def _cells(batches, k: int, parts: int, contexts: np.ndarray, suffixes: np.ndarray, share: int = 0, shares: int = 1, most: int = 500_000):
     """Contexts of k words with the suffix that their next symbol makes, added
-    up in the task before they are sent; none that the sieves keep away."""
+    up in the task before they are sent; none that the sieves keep away, and
+    only those of one share of all such pairs."""
     held, size = [], 0
     for t in _taught(batches):
         gram = t.grams(k)[-1]
         at = np.flatnonzero(t.place >= k)
+        if shares > 1:
+            at = at[((gram[at - 1] ^ gram[at]) >> B.U64(32)) % B.U64(shares) == share]
         at = at[_may_be(suffixes, gram[at])]
         at = at[_may_be(contexts, gram[at - 1])]
         held.append((gram[at - 1], gram[at], np.ones(len(at), np.int64)))
@@ -291,14 +300,31 @@ def _stored(group: pa.Table, least: int) -> pa.Table:
 
 # --- learning -------------------------------------------------------------
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """A table in the checkpoint folder."""
+def _written(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """A table in the checkpoint folder; its path is added to ``made``."""
     at = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
+    if made is not None:
+        made.append(at)
     return df.sparkSession.read.parquet(at)
 
 
-def _level(cells: DataFrame, shorter: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+def _deleted(spark: SparkSession, made: list[str]) -> None:
+    """Tables of ``_written`` that nothing reads any more."""
+    for at in made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    made.clear()
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for x in tables[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _level(cells: DataFrame, shorter: DataFrame, s: Settings, made: list[str]) -> tuple[DataFrame, DataFrame]:
     """One length of contexts. ``shorter``: (hash, n, logp) of the stored runs
     one token shorter. Returns (hash, n, logp, extra) of the stored cells, logp
     being that of the last token after the others, and the kept contexts with
@@ -318,35 +344,62 @@ def _level(cells: DataFrame, shorter: DataFrame, s: Settings) -> tuple[DataFrame
     own = F.log10((F.col("n") - s.discount) / F.col("c"))
     got = cells.join(kept, "context", "left").select(
         F.col("key").alias("hash"), "n", F.coalesce(own, F.col("up")).alias("logp"), F.coalesce(own - F.col("rest") - F.col("up"), F.lit(0.0)).alias("extra"))
-    return _written(got, "suffix-symbols"), kept
+    return _written(got, "suffix-symbols", made), kept
+
+
+_RUNS = "part int, runs binary, extras binary"
+_TABLE = "of int, hashes binary, counts binary, runs binary, extras binary"
+
+
+def _packed_runs(batches, parts: int):
+    """Entries whose extra is not 0 by destination."""
+    for batch in batches:
+        if batch.num_rows:
+            yield _packed(batch.column(0).to_numpy().view(B.U64), batch.column(1).to_numpy(), parts, ("runs", "extras"))
+
+
+def _row(counts: pa.Table, runs: pa.Table) -> pa.Table:
+    """What a destination looks up, in order of the hashes."""
+    part = (counts if counts.num_rows else runs).column("part")[0].as_py()
+    run, extra = _whole(runs, "runs", B.U64), _whole(runs, "extras", np.float64)
+    order = np.argsort(run)
+    binary = [_whole(counts, "hashes", B.U64), _whole(counts, "counts", np.int64), run[order], extra[order]]
+    return pa.table([pa.array([part], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in binary)], names=[x.split(" ")[0] for x in _TABLE.split(", ")])
 
 
 def learn(docs: DataFrame, s: Settings, parts: int) -> Model:
     """The model of the rows (doc_id, teach, text) that teach."""
+    spark = docs.sparkSession
     counts = cut_lineage(docs.mapInArrow(lambda it: _counted((t.hash for t in _taught(it)), parts), _COUNTS).groupBy("part").applyInArrow(_summed, _COUNTS))
     size = counts.mapInArrow(_totals, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     total, distinct = int(size[0] or 0), int(size[1] or 0)
     words = counts.mapInArrow(lambda it: _large(it, s.least_next), "hash long, n long")
     level = words.withColumn("logp", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))).withColumn("extra", F.lit(0.0))
-    found, states = [level], []
+    found, states, symbols = [level], [], []
     for k in range(1, s.depth + 1):
         contexts, suffixes = (_sieve(level.where(F.col("n") >= n), s.sieve) for n in (s.least_count, s.least_next))
-        cells = (docs.mapInArrow(lambda it, k=k, a=contexts, b=suffixes: _cells(it, k, parts, a, b), _CELLS)
-                 .groupBy("part").applyInArrow(lambda g: _stored(g, s.least_next), _STORED))
-        level, kept = _level(_written(cells, "suffix-cells"), level, s)
+        cells, made, sieves = [], [], spark.sparkContext.broadcast((contexts, suffixes))
+        for share in range(s.shares):
+            some = (docs.mapInArrow(lambda it, k=k, a=sieves, share=share: _cells(it, k, parts, *a.value, share, s.shares), _CELLS)
+                    .groupBy("part").applyInArrow(lambda g: _stored(g, s.least_next), _STORED))
+            cells.append(_written(some, "suffix-cells", made))
+        sieves.destroy()
+        level, kept = _level(_union(cells), level, s, symbols)
+        _deleted(spark, made)
         found.append(level)
         states.append(kept)
     every = [x.select("hash", "n", "extra") for x in found] + [x.select(F.col("context").alias("hash"), F.lit(0).cast("long").alias("n"), F.col("rest").alias("extra")) for x in states]
-    entries = every[0]
-    for x in every[1:]:
-        entries = entries.unionByName(x)
-    entries = _written(entries.groupBy("hash").agg(F.max("n").alias("n"), F.sum("extra").alias("extra")), "suffix-entries")
+    entries = _written(_union(every).groupBy("hash").agg(F.max("n").alias("n"), F.sum("extra").alias("extra")), "suffix-entries", symbols)
     # at most 1 / cache of each length
     near = entries.where(F.col("n") >= max(s.cache * total, s.least_next)).toArrow()
     h = near.column("hash").to_numpy().astype(np.int64).view(B.U64)
     order = np.argsort(h)
-    sieve = _sieve(entries.where("extra <> 0"), s.sieve)
-    return Model(s, total, distinct, counts, entries, sieve, states, h[order], near.column("n").to_numpy().astype(np.int64)[order], near.column("extra").to_numpy().astype(np.float64)[order])
+    runs = entries.where("extra <> 0")  # runs of tokens that change no score need no row
+    sieve = _sieve(runs, s.sieve)
+    packed = runs.select("hash", "extra").mapInArrow(lambda it: _packed_runs(it, parts), _RUNS)
+    table = _written(counts.groupBy("part").cogroup(packed.groupBy("part")).applyInArrow(_row, _TABLE), "suffix-table")
+    _deleted(spark, symbols)
+    return Model(s, total, distinct, table, sieve, states, h[order], near.column("n").to_numpy().astype(np.int64)[order], near.column("extra").to_numpy().astype(np.float64)[order])
 
 
 # --- scoring --------------------------------------------------------------
@@ -425,10 +478,7 @@ def _looked_up(sent: pa.Table, table: pa.Table, parts: int) -> pa.Table:
     """Partial sums of a destination: runs of tokens meet their numbers. They go
     on packed by destination of their texts, so rows do not multiply."""
     word, n = _whole(table, "hashes", B.U64), _whole(table, "counts", np.int64)
-    run, extra = table.column("hash").to_numpy(), table.column("extra").to_numpy()
-    run, extra = run[~np.isnan(extra)].astype(np.int64).view(B.U64), extra[~np.isnan(extra)]
-    order = np.argsort(run)
-    run, extra = run[order], extra[order]
+    run, extra = _whole(table, "runs", B.U64), _whole(table, "extras", np.float64)
     h = _whole(sent, "hashes", B.U64)
     at = _find(word, h)
     c = np.where(at >= 0, n[at] if len(n) else 0, 0)
@@ -476,12 +526,14 @@ def score_texts(docs: DataFrame, teach, s: Settings = Settings(), text: str = "t
     small_batches(docs.sparkSession)
     parts = max(spread(docs.sparkSession), min(text_bytes(docs) // (8 << 20), 1 << 16))
     model = learn(rows, s, parts)
-    near = _Near(s.depth, model.log_total, model.sieve, model.hash, model.count, model.extra)
-    sent = rows.mapInArrow(lambda it: _scored(it, near, parts), _SENT)
-    none, nan = F.lit(b""), F.lit(float("nan"))
-    # runs of tokens that change no score need no row
-    far = model.entries.where("extra <> 0").select(F.expr(f"cast((hash & 2147483647) % {parts} as int)").alias("of"), none.alias("hashes"), none.alias("counts"), "hash", "extra")
-    table = model.counts.select(F.col("part").alias("of"), "hashes", "counts", F.lit(0).cast("long").alias("hash"), nan.alias("extra")).unionByName(far)
-    partial = sent.groupBy("part").cogroup(table.groupBy("of")).applyInArrow(lambda a, b: _looked_up(a, b, parts), _PARTIAL)
-    return (partial.groupBy("part").applyInArrow(_added, _TOTAL)
-            .select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"))
+    near = docs.sparkSession.sparkContext.broadcast(_Near(s.depth, model.log_total, model.sieve, model.hash, model.count, model.extra))
+
+    def scored(some: DataFrame) -> DataFrame:
+        sent = some.mapInArrow(lambda it: _scored(it, near.value, parts), _SENT)
+        partial = sent.groupBy("part").cogroup(model.table.groupBy("of")).applyInArrow(lambda a, b: _looked_up(a, b, parts), _PARTIAL)
+        return partial.groupBy("part").applyInArrow(_added, _TOTAL)
+
+    of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(s.slices))
+    got = _union([_written(scored(rows.where(of == i)), "suffix-scores") for i in range(s.slices)])
+    near.destroy()
+    return got.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
