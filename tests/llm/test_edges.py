@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from presswork.llm import bytesops as B
 from presswork.llm import components, decontam, embdup, minhash, packing, quality, substring, suffixlm, toxicity, urlrules, warc
 from presswork.llm.common import cut_lineage, fold, load
+from presswork.session import checkpoint_dir
 
 PASSAGE = " ".join(f"w{i}" for i in range(60))
 LONG = " ".join(f"z{i % 977}" for i in range(30_000))
@@ -429,6 +431,34 @@ def test_language_model_holds_little_at_once(spark, monkeypatch):
     assert spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() <= 4 << 20
 
 
+def test_language_model_in_passes(spark, monkeypatch):
+    """A pass shuffles part of the contexts or texts, all passes together each
+    of them once, and tables that nothing reads any more are gone."""
+    made, real = [], suffixlm._written
+
+    def spy(df, name, *more):
+        out = real(df, name, *more)
+        keys = [(r.context, r.suffix) for r in out.collect()] if name == "suffix-cells" else []
+        made.append((name, out.count(), keys, out.inputFiles()[0].split("/")[-2]))
+        return out
+
+    monkeypatch.setattr(suffixlm, "_written", spy)
+    s = suffixlm.Settings()
+    df = spark.createDataFrame([*chain_texts(60), (3, None), (None, "a b d"), (7, "c b e")], "doc_id long, text string")
+    assert suffixlm.score_texts(df, F.col("doc_id") < 1000, s).count() == 63
+    cells = [keys for name, _, keys, _ in made if name == "suffix-cells"]
+    assert len(cells) == s.depth * s.shares and s.shares > 1
+    for k in range(s.depth):
+        some = cells[k * s.shares:(k + 1) * s.shares]
+        every = [x for keys in some for x in keys]
+        assert len(set(every)) == len(every) > 0 and all(len(keys) < 0.8 * len(every) for keys in some)
+    texts = [n for name, n, _, _ in made if name == "suffix-scores"]
+    assert len(texts) == s.slices and sum(texts) == 63 and all(0 < n < 40 for n in texts)
+    left = os.listdir(checkpoint_dir(spark).removeprefix("file://"))
+    for name, _, _, at in made:
+        assert (at in left) == (name in ("suffix-states", "suffix-table", "suffix-scores"))
+
+
 def test_models_come_to_the_driver_as_arrow(spark, monkeypatch):
     """Rows as Python objects take many times the memory of their columns."""
     def refuse(self):
