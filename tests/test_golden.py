@@ -138,3 +138,24 @@ def test_group_partitions_grow_with_the_texts(spark):
         assert group_partitions(spark, 1000) == few and group_partitions(spark, 6 << 30) == 6 * 256
     finally:
         spark.conf.set("presswork.group.partitions", before)
+
+
+def test_k9_edges_are_rounded_as_spark_rounds(spark):
+    """``word_graph`` with digits gives what Spark's ``round`` makes of its
+    weights (ties go up), with pairs of one sentence and of several, and a word
+    that is listed twice for a sentence."""
+    from presswork.operators.vectors import rounded, word_graph
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.random(5000), np.arange(-300, 300) / 128, rng.random(2000).round(7), [0.0, -1e-9, 0.0000005, 1e9 + 0.1, 1e18, 123456.1234565]])
+    want = [r.w for r in spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double").orderBy("i").select(F.round("x", 6).alias("w")).collect()]
+    got = rounded(x, 6)
+    assert got.tolist() == want and not np.signbit(got[got == 0]).any()
+
+    rows = [(1, 0, "b", 1), *((1, s, "a", c) for s, c in enumerate((1, 127, 15, 5, 2))), (1, 3, "c", 2), (1, 4, "c", 3), (1, 4, "d", 1),
+            (2, 0, "a", 1), (2, 0, "a", 1), (2, 0, "b", 1), (2, 1, "b", 2), (3, 0, "a", 4)]
+    df = spark.createDataFrame(rows, "id int, sent int, word string, c long")
+    plain = {(r.id, r.src, r.dst): r.w for r in word_graph(df).select("id", "src", "dst", F.round("w", 6).alias("w")).collect()}
+    edges = [tuple(r) for r in word_graph(df, digits=6).collect()]
+    assert len(edges) == len(plain) == 17 and {e[:3]: e[3] for e in edges} == plain
+    assert plain[1, "a", "b"] == plain[1, "b", "a"] == 0.007813  # 1 / 128
+    assert plain[2, "a", "b"] == round(2 / np.sqrt(2) / np.sqrt(5), 6)
