@@ -6,6 +6,8 @@ day's articles, all days in one plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,16 +39,29 @@ def contains_join(articles: DataFrame, keywords: DataFrame, content: str = "cont
     return articles.join(k, F.col(content).contains(F.col("keyword")))
 
 
-def keyword_articles(articles: DataFrame, keywords: DataFrame, n: int = 30) -> DataFrame:
+def keyword_articles(articles: DataFrame, keywords: DataFrame, n: int = 30,
+                     dated: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The per-day article table: retrieval by keyword (M3), repeats skipped
     (E15) and the quota of ``n`` per (keyword, outlet) (E16).
 
     The E15 window runs per (date, keyword, outlet): the crawl walks one
     outlet's list at a time, and this bounds every window by one outlet's
     articles of one day.
+
+    A body is read once, against the whole list (one value: a list of a few
+    dozen keywords), and compared by its digest, so it goes no further where
+    the caller does not read it. ``dated`` adds the dates to articles that have
+    none yet (a join that bodies then need not go through); rows that get none
+    are left out.
     """
-    hits = contains_join(articles.filter(F.col("content").isNotNull()), keywords)
-    hits = drop_repeats(hits, order=[F.col("id")], partition=("date", "keyword", "agency"))
+    content = F.col("content")
+    listed = keywords.agg(F.array_sort(F.collect_list(F.struct("kpos", "keyword"))).alias("l")).scalar()
+    found = articles.filter(content.isNotNull()).withColumns({"_digest": F.unhex(F.sha2(content.cast("binary"), 256)), "_listed": listed})
+    found = found.withColumn("_words", F.filter("_listed", lambda k: content.contains(k["keyword"]))).drop("_listed")
+    if dated is not None:
+        found = dated(found).filter(F.col("date").isNotNull())
+    hits = found.select("*", F.inline("_words")).drop("_words")
+    hits = drop_repeats(hits, order=[F.col("id")], partition=("date", "keyword", "agency"), content="_digest").drop("_digest")
     return quota(hits, order=[F.col("id")], n=n, partition=("date", "keyword", "agency"))
 
 

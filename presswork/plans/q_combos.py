@@ -10,7 +10,7 @@ from presswork.operators.articles import assign_ids, slot_of
 from presswork.plans.q_day import FIXED_SQL
 from presswork.plans.registry import query
 from presswork.plans.sql_common import ART
-from presswork.sources.corpus import corpus_articles, fixed_keywords
+from presswork.sources.corpus import corpus_articles, document_articles, fixed_keywords, with_times
 
 
 def crawl_keywords(spark, sf) -> DataFrame:
@@ -22,8 +22,8 @@ def crawl_keywords(spark, sf) -> DataFrame:
 
 def articles_table(spark, sf) -> DataFrame:
     """Per-day article table ``(date, keyword, kpos, id, title, content, thumbnail, agency)``."""
-    art = corpus_articles(spark, sf).filter(F.col("date").isNotNull())
-    return M.keyword_articles(art, crawl_keywords(spark, sf)).select(
+    art = document_articles(spark, sf)
+    return M.keyword_articles(art, crawl_keywords(spark, sf), dated=lambda found: with_times(found, sf)).select(
         "date", "keyword", "kpos", "id", "title", "content", "thumbnail", "agency")
 
 

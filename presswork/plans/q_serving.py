@@ -9,6 +9,7 @@ from presswork.operators.articles import drop_keys, upsert
 from presswork.plans import q_combos as J3
 from presswork.plans.q_combos import ARTICLES_SQL
 from presswork.plans.registry import query
+from presswork.session import cut_lineage
 from presswork.sources.corpus import date_status, read_articles
 
 NEWEST = "newest AS (SELECT max(date) AS d FROM articles)"
@@ -40,8 +41,9 @@ def s3_whole_day(spark, sf):
 @query("s4_upsert", f"""WITH {ARTICLES_SQL}, {NEWEST}
 SELECT date, keyword, id, CASE WHEN date = (SELECT d FROM newest) THEN upper(agency) ELSE agency END AS agency FROM articles""")
 def s4_upsert(spark, sf):
-    """The newest day written again with other outlet names; the last write of a key stays."""
-    arts = J3.articles_table(spark, sf).select("date", "keyword", "id", "agency")
+    """The newest day written again with other outlet names; the last write of a key stays.
+    The table (without texts) is made once, for the newest day and both sides of the upsert."""
+    arts = cut_lineage(J3.articles_table(spark, sf).select("date", "keyword", "id", "agency"))
     again = read_articles(arts, _newest(arts)).withColumn("agency", F.upper("agency"))
     return upsert(again, arts, ["date", "keyword", "id"])
 

@@ -90,3 +90,30 @@ def test_shipped_package_imports(tmp_path):
     code = "import presswork.functions.text, presswork.operators.groups, presswork.sources.corpus, presswork.llm.common as c; print(c.__file__)"
     got = subprocess.run([sys.executable, "-c", f"import sys; sys.path.insert(0, {str(out)!r}); {code}"], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert got.returncode == 0 and str(out) in got.stdout, got.stderr
+
+
+def test_s4_texts_meet_no_join_and_no_window(spark, tmp_path):
+    """The newest day written again, on tables of its own: bodies are neither
+    joined with the events nor ordered nor kept, and repeats are known by digest."""
+    from presswork.plans import q_combos as J3
+    from presswork.plans.q_serving import s4_upsert
+    t1, t2 = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
+    docs = [(1, "rate and loan", "o"), (2, "rate and loan", "o"), (3, "rate", "o"), (4, "nothing", "o"), (5, None, "o"), (6, "loan", None),
+            (7, "loan", "p"), (8, "rate", "p"), (9, "rate", "o"), (10, "rate", "o"), (None, "rate", "o")]
+    times = [(i, t1) for i in (1, 2, 3, 4, 5, 6)] + [(8, None), (9, t2), (10, t2)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("lang", F.lit("en")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(times, "event_id long, ts timestamp").write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(0, "rate loan rate it")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {(r.date, r.keyword, r.id, r.agency) for r in s4_upsert(spark, str(tmp_path)).collect()}
+    assert got == {(D1, "rate", 1, "o"), (D1, "rate", 3, "o"), (D1, "loan", 1, "o"), (D1, "loan", 6, None), (D2, "rate", 9, "O")}
+
+    def nodes(p):
+        yield p
+        for i in range(p.children().size()):
+            yield from nodes(p.children().apply(i))
+
+    arts = J3.articles_table(spark, str(tmp_path))
+    for columns, carried in ((["date", "keyword", "id", "agency"], False), (["id", "content"], True)):
+        met = [x for x in nodes(arts.select(*columns)._jdf.queryExecution().optimizedPlan()) if x.nodeName() in ("Join", "Window")]
+        assert len(met) >= 3 and all(("content#" in x.output().mkString(",")) == carried for x in met)
+    assert "FileScan" not in plan(s4_upsert(spark, str(tmp_path)))  # read once, before
